@@ -1,0 +1,53 @@
+"""A membership filter of fixed size over a key column, to thin a scan before its texts are shuffled."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusmill.llm.codepoints import mix
+
+#: Bits of the filter. It is broadcast, and its size does not depend on the data; with more keys it lets more rows
+#: through, which costs time and changes no result.
+FILTER_BITS = 1 << 23
+
+
+class KeyFilter:
+    """Whether a key may be among those the filter was built from; never wrong about those that are."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+
+    @staticmethod
+    def places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = mix(keys.astype(np.int64).view(np.uint64), 7)
+        low, high = h & np.uint64(FILTER_BITS - 1), (h >> np.uint64(32)) & np.uint64(FILTER_BITS - 1)
+        return low, high
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        found = np.ones(len(keys), dtype=bool)
+        for at in self.places(keys):
+            found &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        return found
+
+
+def key_filter(df: DataFrame, key: str) -> KeyFilter:
+    """Gather the filter's words, at most FILTER_BITS / 64 rows however many keys there are."""
+
+    def words(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keys = np.asarray(batch.column(0).drop_null(), dtype=np.int64)
+            held = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+            for at in KeyFilter.places(keys):
+                np.bitwise_or.at(held, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+            used = np.flatnonzero(held)
+            yield pa.record_batch([pa.array(used, pa.int32()), pa.array(held[used].view(np.int64))], names=["place", "bits"])
+
+    gathered = df.select(F.col(key).cast("long").alias("key")).mapInArrow(words, "place int, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits"))
+    table = gathered.toArrow()
+    held = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    held[np.asarray(table["place"])] = np.asarray(table["bits"], dtype=np.int64).view(np.uint64)
+    return KeyFilter(held)
