@@ -129,6 +129,28 @@ def statistics(text: str | None) -> tuple:
     return (lang, prose / total if total else 0.0, common / max(1, n_words), symbols / dense, digits / dense, entries / total, repeats, sum(map(len, words)) / max(1, n_words), sum(_END.search(x) is not None for x in lines) / max(1, len(lines)), float(n_words), float(len(lines)), float(n_chars))
 
 
+_HEADINGS = re.compile(r"^#{1,6} [^\n]*$", re.M)
+
+
+def mainly_prose(text: str) -> bool:
+    """Whether more than half of a whole English article, without its heading lines, is natural prose."""
+    body = _HEADINGS.sub("", text)
+    known, prose, total = _EVERY["en"], 0, 0
+    every: list[str] = []
+    for part, entry in _paragraphs(body):
+        total += len(part)
+        if entry:
+            continue
+        words = part.lower().split()
+        every += words
+        if len(words) >= 4 and sum(map(known.__contains__, words)) >= 0.14 * len(words) and (len(words) >= 15 or _END.search(part) or _INNER.search(part)):
+            prose += len(part)
+    if not total or 2 * prose <= total:
+        return False
+    groups = len(every) - 2
+    return groups < 12 or 2 * len(set(zip(every, every[1:], every[2:]))) > groups
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["lang", *SIDES]
     for batch in batches:
