@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from corpusmill.llm.codepoints import chunks, decode, flat_sections, fold_table, mix, rolling_hashes
+from corpusmill.llm.codepoints import chunks, decode, flat_sections, fold_table, mix
 from corpusmill.llm.prefilter import key_filter
 from corpusmill.session import materialize, salted_join
 
@@ -28,9 +29,9 @@ class Sketching:
 
     piece: int = 5
     threshold: float = 0.8
-    registers: int = 140
-    rows: int = 7
-    deals: int = 2
+    registers: int = 144
+    rows: int = 9
+    deals: int = 3
     base: float = 1.06
     top: int = 255
 
@@ -67,6 +68,12 @@ def normal_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return kept[~drop], np.concatenate([[0], np.cumsum(~drop)])[places]
 
 
+def text_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each whole text."""
+    places = starts.tolist()
+    return np.array([xxh3_64_intdigest(points[a:b].tobytes()) for a, b in zip(places, places[1:])], dtype=np.uint64)
+
+
 def piece_hashes(points: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each piece of `size` characters and the text it is of; a shorter text is one piece itself."""
     n = len(points)
@@ -80,13 +87,16 @@ def piece_hashes(points: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.
         h, of = mix(h[whole]), owner[: len(h)][whole]
     short = np.flatnonzero((np.diff(starts) > 0) & (np.diff(starts) < size))
     if len(short):
-        own = rolling_hashes(points, starts)[0][short]
-        h, of = np.concatenate([h, mix(own, 3)]), np.concatenate([of, short])
+        h, of = np.concatenate([h, text_hashes(points, starts)[short]]), np.concatenate([of, short])
         order = np.argsort(of, kind="stable")
         h, of = h[order], of[order]
     return h, of
 
 
+#: Odd factors that give each turn bits of its own from one well mixed hash.
+_TURNS = mix(np.arange(64), 21) | np.uint64(1)
+
+
 def sketch(h: np.ndarray, of: np.ndarray, n: int, how: Sketching) -> np.ndarray:
     """Registers of `n` sets, given the hashes of their members; a set without members has zeros throughout.
 
@@ -101,7 +111,9 @@ def sketch(h: np.ndarray, of: np.ndarray, n: int, how: Sketching) -> np.ndarray:
     at = np.zeros(len(h), dtype=np.float32)
     turn = 0
     while len(h):
-        bits = mix(h, 11 + turn)
+        bits = h * _TURNS[turn % len(_TURNS)] + np.uint64(turn)
+        bits ^= bits >> np.uint64(32)
+        bits *= np.uint64(0xD6E8FEB86659FD93)
         gap = -np.log(((bits >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24))
         at = at + gap * np.float32(1.0 / m)
         value = np.clip(shift - np.log(at) * np.float32(scale), 0, how.top).astype(np.uint8)
@@ -152,11 +164,11 @@ def _sketches(how: Sketching):
             texts, pages = values.to_pylist(), np.asarray(batch.column("page_id"), dtype=np.int64)[rows]
             for begin, end in chunks(texts, 1 << 19):
                 points, starts = normal_points(texts[begin:end])
-                key, key_2, _ = rolling_hashes(points, starts)
                 held = sketch(*piece_hashes(points, starts, how.piece), end - begin, how)
                 size = np.clip(np.log(cardinality(held, how)) / np.log(_SIZE_STEP), 0, 255).astype(np.uint64)
-                key = (mix(key ^ mix(key_2)) & ~np.uint64(255)) | size
-                bare = rolling_hashes(points, starts, points != 32)[0]
+                key = (text_hashes(points, starts) & ~np.uint64(255)) | size
+                letters = points != 32
+                bare = text_hashes(points[letters], np.concatenate([[0], np.cumsum(letters)])[starts])
                 some = np.diff(starts) > 0
                 yield pa.record_batch(
                     [pa.array(pages[begin:end][some]), pa.array(places[begin:end][some].astype(np.int32)), *(pa.array(x.view(np.int64)[some]) for x in (key, bare)), pa.array([r.tobytes() for r in held[some]], pa.binary())],
@@ -191,8 +203,9 @@ def _likely(how: Sketching):
                 part = batch.slice(begin, 2000)
                 a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), dtype=np.uint8).reshape(-1, how.registers) for c in ("registers_a", "registers_b"))
                 # three standard errors of the estimate under the threshold: what is dropped has no chance
-                slack = 3 * np.sqrt(how.threshold * (1 - how.threshold) / how.registers) + 0.02
-                near = joint_similarity(a, b, how) > how.threshold - slack
+                least = how.threshold - 3 * np.sqrt(how.threshold * (1 - how.threshold) / how.registers) - 0.02
+                near = (a == b).mean(axis=1) > least - 0.05  # a quick look; equal registers are more than equal members
+                near[near] = joint_similarity(a[near], b[near], how) > least
                 yield part.select(["key_a", "key_b"]).filter(pa.array(near))
 
     return run
