@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.codepoints import chunks, decode, flat_sections, fold_table, mix, rolling_hashes, segment_sum
-from corpusmill.llm.prefilter import key_filter
+from corpusmill.functions.codepoints import chunks, decode, flat_sections, fold_table, mix, rolling_hashes, segment_sum
+from corpusmill.functions.prefilter import key_filter
 from corpusmill.session import materialize, salted_join
 
 #: Characters that the two pointers take in at a time.

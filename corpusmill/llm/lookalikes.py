@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from corpusmill.llm.pages import once_each, sections
+from corpusmill.operators.pages import once_each, sections
 from corpusmill.session import materialize, salted_join
 
 # Letters of other scripts that have the shape of a Latin letter, and that letter.

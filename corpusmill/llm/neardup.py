@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from corpusmill.llm.codepoints import chunks, decode, flat_sections, fold_table, mix
-from corpusmill.llm.prefilter import key_filter
+from corpusmill.functions.codepoints import chunks, decode, flat_sections, fold_table, mix
+from corpusmill.functions.prefilter import key_filter
 from corpusmill.session import materialize, salted_join
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.codepoints import flat_sections
+from corpusmill.functions.codepoints import flat_sections
 from corpusmill.session import materialize
 
 # The most common words of languages in Latin script, which any prose holds and lists seldom do.

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.codepoints import flat_sections
-from corpusmill.llm.pages import once_each
+from corpusmill.functions.codepoints import flat_sections
+from corpusmill.operators.pages import once_each
 
 # Abbreviations after which a sentence goes on, whatever follows.
 INNER_ABBREVIATIONS = """

@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.pages import once_each
-from corpusmill.llm.prefilter import key_filter
+from corpusmill.operators.pages import once_each
+from corpusmill.functions.prefilter import key_filter
 from corpusmill.session import materialize
 
 #: A word is a piece of a sentence between these, exactly as stored.
