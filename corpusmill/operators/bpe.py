@@ -12,8 +12,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.session import materialize
 
@@ -21,7 +22,7 @@ from corpusmill.session import materialize
 WORDS_IN_TASK = 3_000_000
 #: Entries of a vocabulary that is sent to all tasks; larger ones are an error.
 MOST_TOKENS = 5_000_000
-MERGES = "merge_rank int, left string, right string, token string, pair_freq long"
+MERGES = "merge_rank int, left_token string, right_token string, token string, pair_freq long"
 
 
 def letters(word):
@@ -36,17 +37,17 @@ def initial_vocab(frequencies: DataFrame) -> DataFrame:
 
 
 def pair_counts(frequencies: DataFrame) -> DataFrame:
-    """left, right, n, first_at: adjacent characters of the words, weighted by frequency; overlapping pairs all count.
+    """left_token, right_token, n, first_at: adjacent characters of the words, weighted by frequency; overlapping pairs all count.
     first_at (place of the word's first appearance, then position) says which of equally frequent pairs came first."""
     c = letters(F.col("word"))
-    pairs = F.transform(F.sequence(F.lit(1), F.size(c) - 1), lambda i: F.struct(F.element_at(c, i).alias("left"), F.element_at(c, i + 1).alias("right"), i.alias("pos")))
+    pairs = F.transform(F.sequence(F.lit(1), F.size(c) - 1), lambda i: F.struct(F.element_at(c, i).alias("left_token"), F.element_at(c, i + 1).alias("right_token"), i.alias("pos")))
     each = frequencies.where(F.size(c) > 1).select("freq", "first_pos", F.inline(pairs))
-    return each.groupBy("left", "right").agg(F.sum("freq").alias("n"), F.min(F.struct("first_pos", "pos")).alias("first_at"))
+    return each.groupBy("left_token", "right_token").agg(F.sum("freq").alias("n"), F.min(F.struct("first_pos", "pos")).alias("first_at"))
 
 
 def top_pair(counts: DataFrame) -> DataFrame:
     """The most frequent pair; of equal ones the first encountered. No row where there is no pair."""
-    return counts.orderBy(F.desc("n"), "first_at").limit(1).select("left", "right", "n")
+    return counts.orderBy(F.desc("n"), "first_at").limit(1).select("left_token", "right_token", "n")
 
 
 class Trainer:
@@ -132,7 +133,7 @@ def _train_here(merges: int):
             (left, right), n = found
             out.append((rank, left, right, left + right, n))
             trainer.merge((left, right))
-        return pd.DataFrame(out, columns=["merge_rank", "left", "right", "token", "pair_freq"])
+        return pd.DataFrame(out, columns=["merge_rank", "left_token", "right_token", "token", "pair_freq"])
 
     return run
 
@@ -146,12 +147,12 @@ def _train_apart(frequencies: DataFrame, merges: int) -> DataFrame:
     for rank in range(merges):
         parts = F.filter(F.split(F.replace("t", F.lit(a), F.lit("")), z), lambda c: c != "")
         each = words.select("freq", "first_pos", parts.alias("c")).where(F.size("c") > 1)
-        pairs = F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.struct(F.element_at("c", i).alias("left"), F.element_at("c", i + 1).alias("right"), i.alias("pos")))
-        counts = each.select("freq", "first_pos", F.inline(pairs)).groupBy("left", "right").agg(F.sum("freq").alias("n"), F.min(F.struct("first_pos", "pos")).alias("first_at"))
+        pairs = F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.struct(F.element_at("c", i).alias("left_token"), F.element_at("c", i + 1).alias("right_token"), i.alias("pos")))
+        counts = each.select("freq", "first_pos", F.inline(pairs)).groupBy("left_token", "right_token").agg(F.sum("freq").alias("n"), F.min(F.struct("first_pos", "pos")).alias("first_at"))
         top = counts.orderBy(F.desc("n"), "first_at").limit(1).collect()
         if not top:
             break
-        left, right, n = top[0]["left"], top[0]["right"], top[0]["n"]
+        left, right, n = top[0]["left_token"], top[0]["right_token"], top[0]["n"]
         out.append((rank, left, right, left + right, n))
         words = words.withColumn("t", F.replace("t", F.lit(a + left + z + a + right + z), F.lit(a + left + right + z)))
         if rank % 20 == 19:
@@ -160,7 +161,7 @@ def _train_apart(frequencies: DataFrame, merges: int) -> DataFrame:
 
 
 def train(frequencies: DataFrame, size: int, words_in_task: int = WORDS_IN_TASK) -> DataFrame:
-    """merge_rank, left, right, token, pair_freq: the merges that bring the first vocabulary to `size`.
+    """merge_rank, left_token, right_token, token, pair_freq: the merges that bring the first vocabulary to `size`.
 
     As many merges are made as the vocabulary lacks, or until no pair is left; a merge that makes a token that exists
     counts as one. A `size` below the first vocabulary is an error.
@@ -171,7 +172,7 @@ def train(frequencies: DataFrame, size: int, words_in_task: int = WORDS_IN_TASK)
         raise ValueError(f"the vocabulary has {begun} entries already, more than {size}")
     if frequencies.count() > words_in_task:
         return _train_apart(frequencies, size - begun)
-    return frequencies.groupBy(F.lit(0)).applyInPandas(_train_here(size - begun), MERGES)
+    return frequencies.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_train_here(size - begun), MERGES)
 
 
 def vocabulary(frequencies: DataFrame, merges: DataFrame) -> DataFrame:
@@ -179,8 +180,6 @@ def vocabulary(frequencies: DataFrame, merges: DataFrame) -> DataFrame:
     first = initial_vocab(frequencies).select("token", F.lit(-1).alias("merge_rank"))
     every = first.unionByName(merges.select("token", "merge_rank")).groupBy("token").agg(F.min("merge_rank").alias("merge_rank"))
     # a vocabulary is small next to a corpus and has an order of its own; so one task numbers it
-    from pyspark.sql import Window
-
     return every.withColumn("token_id", F.row_number().over(Window.orderBy("merge_rank", "token")) - 1)
 
 
@@ -210,7 +209,7 @@ def _entries(vocab: DataFrame) -> frozenset[str]:
 def tokenized_words(words: DataFrame, vocab: DataFrame) -> DataFrame:
     """`words` with the column tokens; each distinct word should be given once."""
     entries = _entries(vocab)
-    schema = words.schema.add("tokens", "array<string>")
+    schema = T.StructType([*words.schema, T.StructField("tokens", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,9 +229,8 @@ def tokenized(pages: DataFrame, vocab: DataFrame) -> DataFrame:
     apart = " " in entries and not any(" " in t for t in entries if t != " ")
     kind = pa.list_(pa.list_(pa.list_(pa.string())))
     place = pages.columns.index("text_list")
-    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
-
-    schema = StructType([StructField("text_list", _parse_datatype_string("array<array<array<string>>>")) if f.name == "text_list" else f for f in pages.schema])
+    nested = T.ArrayType(T.ArrayType(T.ArrayType(T.StringType())))
+    schema = T.StructType([T.StructField("text_list", nested) if f.name == "text_list" else f for f in pages.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[str]] = {}
@@ -273,7 +271,7 @@ def token_counts(frequencies: DataFrame, vocab: DataFrame) -> DataFrame:
 def token_ids(tokens: DataFrame, vocab: DataFrame, unknown: int = -1) -> DataFrame:
     """`tokens` (column tokens) with ids: the vocabulary's token_id of each, `unknown` for those it lacks."""
     number = {r["token"]: r["token_id"] for r in vocab.select("token", "token_id").limit(MOST_TOKENS + 1).collect()}
-    schema = tokens.schema.add("ids", "array<int>")
+    schema = T.StructType([*tokens.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

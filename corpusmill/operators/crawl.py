@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions.markup import links
 from corpusmill.session import materialize
@@ -49,7 +50,7 @@ def ranked(rows: DataFrame, *order: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(batch), pa.int32()), pa.array(range(at, at + len(batch)), pa.int64())], names=[*batch.schema.names, "_part", "rank"])
             at += len(batch)
 
-    schema = rows.repartitionByRange(*order).schema.add("_part", "int").add("rank", "long")
+    schema = T.StructType([*rows.schema, T.StructField("_part", T.IntegerType()), T.StructField("rank", T.LongType())])
     local = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, schema), "ranks")
     sizes = local.groupBy("_part").count().orderBy("_part").collect()  # one row for each partition
     before, shift = 0, []

@@ -54,8 +54,8 @@ with sentence as (select page_id as page, sec, unnest(sents) as s, unnest(range(
 word as (select page, sec, sent, unnest(string_split(s, ' ')) as word, unnest(range(len(string_split(s, ' ')))) as pos from sentence where s is not null),
 freq as (select word, count(*) as freq, min({{'page': page, 'sec': sec, 'sent': sent, 'pos': pos}}) as first_pos from word group by word),
 letter as (select word, freq, first_pos, unnest(range(1, length(word) + 1)) as i from freq where word <> ''),
-pair as (select substring(word, i, 1) as "left", substring(word, i + 1, 1) as "right", freq, first_pos, i from letter where i < length(word)),
-pairs as (select "left", "right", sum(freq)::bigint as n, min({{'p': first_pos, 'i': i}}) as first_at from pair group by all)
+pair as (select substring(word, i, 1) as left_token, substring(word, i + 1, 1) as right_token, freq, first_pos, i from letter where i < length(word)),
+pairs as (select left_token, right_token, sum(freq)::bigint as n, min({{'p': first_pos, 'i': i}}) as first_at from pair group by all)
 """
 _TOKENS = (
     _WORD
@@ -98,8 +98,8 @@ select round((select avg(k) from p), 6) as avg_pars_per_article, round((select s
     "word_frequency": _WORD + "select word, freq from freq",
     "word_first_position": _WORD + "select word, first_pos.page as page, first_pos.sec::bigint as sec, first_pos.sent::bigint as sent, first_pos.pos::bigint as pos from freq",
     "initial_vocab": _WORD + "select distinct substring(word, i, 1) as token from letter union select ' '",
-    "initial_pair_counts": _WORD + 'select "left", "right", n from pairs',
-    "top_pair": _WORD + 'select "left", "right", n from pairs order by n desc, first_at limit 1',
+    "initial_pair_counts": _WORD + 'select left_token, right_token, n from pairs',
+    "top_pair": _WORD + 'select left_token, right_token, n from pairs order by n desc, first_at limit 1',
     "token_counts": _WALK + ", counted as (select token, freq from token join freq using (word)) select token, sum(freq)::bigint as n from counted group by token",
     "token_ids": _WALK
     + """, ids as (select token, row_number() over (order by token) - 1 as id from vocab),

@@ -96,7 +96,7 @@ def initial_vocab(spark: SparkSession, d: str) -> DataFrame:
 
 
 def initial_pair_counts(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.pair_counts(_frequencies(spark, d)).select("left", "right", "n")
+    return bpe.pair_counts(_frequencies(spark, d)).select("left_token", "right_token", "n")
 
 
 def top_pair(spark: SparkSession, d: str) -> DataFrame:
