@@ -40,7 +40,7 @@ _STRIP = "\"'“”‘’„«»()[]{},.;:!?-–—…"
 _HEADING = re.compile(r"\A#{1,6} [^\n]*(?:\n|\Z)")
 
 #: Statistics, and on which side of their distribution junk lies.
-SIDES = {"prose_share": -1, "common_share": -1, "symbol_share": 1, "digit_share": 1, "entry_share": 1, "repeat_share": 1, "mean_word_length": 0, "end_share": 0, "n_words": 0, "n_lines": 0, "n_chars": 0}
+SIDES = {"prose_share": -1, "common_share": 0, "symbol_share": 1, "digit_share": 1, "entry_share": 1, "repeat_share": 1, "mean_word_length": 0, "end_share": 0, "n_words": 0, "n_lines": 0, "n_chars": 0}
 #: Least spread of a statistic that counts as one robust standard deviation, where most values are the same.
 FLOORS = {"prose_share": 0.08, "common_share": 0.05, "symbol_share": 0.05, "digit_share": 0.05, "entry_share": 0.1, "repeat_share": 0.08}
 #: Robust z-score beyond which a tail is junk.
@@ -84,7 +84,7 @@ def _paragraphs(body: str) -> Iterator[tuple[str, bool]]:
 
 
 def _like_sentences(part: str) -> bool:
-    """Whether a text in an unknown language has words of letters, mostly in lower case, and sentences of usual length."""
+    """Whether a text has words of letters, mostly in lower case, and sentences of usual length."""
     words = part.split()
     clean = sum(w.strip(_STRIP).replace("-", "").replace("'", "").replace("’", "").isalpha() for w in words)
     small = sum(w[:1].islower() for w in words)
@@ -120,8 +120,8 @@ def statistics(text: str | None) -> tuple:
             own = [w for w in (x.strip(_STRIP) for x in part.lower().split()) if w]
             share = sum(w in known for w in own) / max(1, len(own))
             good = share >= 0.14 and len(own) >= 4 and (ended or len(own) >= 15)
-            if lang == "und" and not good:
-                good = ended and _like_sentences(part)
+            # learned prose can do with few common words, and an unknown language has none that are known
+            good = good or ended and _like_sentences(part)
         else:
             good = ended or size >= 60
         prose += size * good
@@ -143,7 +143,10 @@ def mainly_prose(text: str) -> bool:
             continue
         words = part.lower().split()
         every += words
-        if len(words) >= 4 and sum(map(known.__contains__, words)) >= 0.14 * len(words) and (len(words) >= 15 or _END.search(part) or _INNER.search(part)):
+        if len(words) < 4:
+            continue
+        ended = _END.search(part) is not None or _INNER.search(part) is not None
+        if sum(map(known.__contains__, words)) >= 0.14 * len(words) and (ended or len(words) >= 15) or ended and _like_sentences(part):
             prose += len(part)
     if not total or 2 * prose <= total:
         return False
