@@ -18,7 +18,9 @@ def split_sentences(text: Column) -> Column:
     """Sentences in order; their characters but the blanks between them are those of the text. Null gives null, empty text
     one empty sentence."""
     marked = F.regexp_replace(text, END, "$1\x01$2")
-    return F.split(F.regexp_replace(marked, NO_END, "$1$2. "), "\x01", -1)
+    for _ in range(2):  # of neighbouring abbreviations each pass meets every other one
+        marked = F.regexp_replace(marked, NO_END, "$1$2. ")
+    return F.split(marked, "\x01", -1)
 
 
 def segmented(pages: DataFrame, omit_duplicates: bool = True) -> DataFrame:

@@ -79,7 +79,7 @@ tags as (select page_id, list_filter(regexp_extract_all(t, '<a\s[^>]*>'), lambda
 select page_id, unnest(range(len(a)))::int as pos, 'https://enc.example' || regexp_extract(unnest(a), 'href="([^"]*)"', 1) as url from tags where len(a) > 0
 """
 _ARTICLE = "starts_with(url, 'https://enc.example/wiki/') and not starts_with(url, 'https://enc.example/wiki/List_of') and not starts_with(url, 'https://enc.example/wiki/Main_Page') and not contains(substring(url, 20), ':')"
-_SENTENCE = _replace(_replace("t", END, r"'\1' || chr(1) || '\2'"), NO_END, r"'\1\2. '")
+_SENTENCE = _replace(_replace(_replace("t", END, r"'\1' || chr(1) || '\2'"), NO_END, r"'\1\2. '"), NO_END, r"'\1\2. '")
 
 SQL = {
     "nfc": _mapped("nfc_normalize(t)"),
