@@ -186,12 +186,12 @@ def majority(labels: DataFrame) -> DataFrame:
     return best.where(F.size(F.filter("counts", lambda c: c == F.col("most"))) == 1).select("doc_id", "level")
 
 
-def _cuts(scored: DataFrame) -> tuple[float, float, float, float]:
-    """The two cuts that give most labelled articles their band, from a histogram of CELLS cells."""
+def _cuts(scored: DataFrame) -> tuple[float, float] | None:
+    """The two cuts that give most labelled articles their band, from a histogram of CELLS cells; none without labels."""
     known = scored.where("level is not null")
     low, high = known.agg(F.min("theta"), F.max("theta")).first()
     if low is None:
-        raise ValueError("no article that is mainly prose has a label")
+        return None
     width = max(high - low, 1e-9) / CELLS
     cell = F.least(F.floor((F.col("theta") - low) / width), F.lit(CELLS - 1)).cast("int")
     rows = known.groupBy(cell.alias("cell"), "level").count().collect()  # at most 3 * CELLS rows
@@ -203,14 +203,15 @@ def _cuts(scored: DataFrame) -> tuple[float, float, float, float]:
     right = np.where(np.arange(CELLS + 1)[:, None] <= np.arange(CELLS + 1)[None, :], right, -1)
     # among equally good pairs the middle one
     a, b = (float(np.median(x)) for x in np.nonzero(right == right.max()))
-    return low + a * width, low + b * width, low, high
+    return low + a * width, low + b * width
 
 
 def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, theta, reading_band of each English document (lang `en` in any case) that is mainly natural prose.
 
     `documents` has doc_id (unique), text and lang; other columns are ignored; null and empty texts and null ids have no
-    level. `labels` has doc_id and reading_band; several people may have labelled a document. Each article is read once
+    level. `labels` has doc_id and reading_band; several people may have labelled a document. Without any label of an
+    article that is prose the bands are null, for there is nothing that tells them. Each article is read once
     into item counts; what is summed up for the items is of fixed size, and so is what the driver holds.
     """
     english = documents.where("doc_id is not null and text is not null and text <> '' and lower(trim(lang)) = 'en'").select("doc_id", "text")
@@ -223,8 +224,10 @@ def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     for _ in range(TURNS):
         scale = _turn(every, scale, False)
     scored = materialize(every.mapInArrow(_score(scale), "doc_id long, theta double, level double"), "levels")
-    first, second, *_ = _cuts(scored)
-    low, middle, high = BANDS
+    cuts = _cuts(scored)
+    if cuts is None:
+        return scored.select("doc_id", "theta", F.lit(None).cast("string").alias("reading_band"))
+    (first, second), (low, middle, high) = cuts, BANDS
     band = F.when(F.col("theta") < first, low).when(F.col("theta") < second, middle).otherwise(high)
     return scored.select("doc_id", "theta", band.alias("reading_band"))
 

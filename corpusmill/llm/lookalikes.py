@@ -30,8 +30,8 @@ GREEK = {
 }
 OTHERS = {"ɡ": "g", "ı": "i", "ɑ": "a", "‐": "-", "ꞏ": "·", "․": ".", "‚": ",", "ʼ": "’", "∶": ":", "⁄": "/", "∕": "/"}
 LOOK_ALIKE = CYRILLIC | GREEK | OTHERS
-#: Kinds of compatibility decomposition that change no shape that a reader sees; ligatures and blanks are <compat>.
-SAME_SHAPE = {"<wide>", "<narrow>", "<compat>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>"}
+#: Kinds of compatibility decomposition that change no shape that a reader sees; of <compat> only joined letters do not.
+SAME_SHAPE = {"<wide>", "<narrow>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>"}
 # Characters without a shape that are not of category Cf.
 INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ"
 #: A run of ASCII, without the last character where a mark follows it and without control characters; or one character.
@@ -45,7 +45,7 @@ def shape(char: str) -> str:
     if unicodedata.category(char) == "Zs" or char == "\t":
         return " "
     kind, _, rest = unicodedata.decomposition(char).partition(" ")
-    if kind in SAME_SHAPE:
+    if kind in SAME_SHAPE or kind == "<compat>" and unicodedata.category(char)[0] == "L" and " " in rest:
         char = "".join(shape(chr(int(x, 16))) for x in rest.split())
     return "".join(LOOK_ALIKE.get(c, c) for c in unicodedata.normalize("NFD", char))
 

@@ -43,6 +43,8 @@ _HEADING = re.compile(r"\A#{1,6} [^\n]*(?:\n|\Z)")
 SIDES = {"prose_share": -1, "common_share": 0, "symbol_share": 1, "digit_share": 1, "entry_share": 1, "repeat_share": 1, "mean_word_length": 0, "end_share": 0, "n_words": 0, "n_lines": 0, "n_chars": 0}
 #: Least spread of a statistic that counts as one robust standard deviation, where most values are the same.
 FLOORS = {"prose_share": 0.08, "common_share": 0.05, "symbol_share": 0.05, "digit_share": 0.05, "entry_share": 0.1, "repeat_share": 0.08}
+#: Sections that a language must have for distributions of its own.
+LEAST_SECTIONS = 100
 #: Robust z-score beyond which a tail is junk.
 FAR = 6.0
 
@@ -59,8 +61,8 @@ def language(text: str, words: list[str]) -> str:
         for lang, letters in _script_ranges():
             if len(letters.findall(text)) > (0.15 if lang == "ja" else 0.4) * sample:
                 return lang
-    best = max((sum(w in known for w in words), lang) for lang, known in _EVERY.items())
-    return best[1] if best[0] > 0.12 * len(words) else "und"
+    best, lang = max((sum(w in known for w in words), lang) for lang, known in _EVERY.items())
+    return lang if best > 0.12 * len(words) and len(_EVERY[lang].intersection(words)) >= 3 else "und"
 
 
 def _spaced(lang: str) -> bool:
@@ -183,12 +185,12 @@ def scored(measured: DataFrame) -> DataFrame:
     """`measured` with, for each statistic x, x_percentile and x_z, and `junk`: a tail on the side of junk beyond FAR.
 
     The spread is taken on the other side of the median, which junk does not widen. Sections whose language is not known
-    are held against all languages together, by merging the sketches. The sketches are one row for each language that
+    or has less than LEAST_SECTIONS are held against all languages together, by merging the sketches. The sketches are one row for each language that
     `language` knows, so their broadcast is bounded; they are partially aggregated, whatever a language's share of the rows.
     """
     sketches = measured.groupBy("lang").agg(*(F.kll_sketch_agg_double(c).alias(c) for c in SIDES))
-    every = sketches.agg(*(F.kll_merge_agg_double(c).alias(c) for c in SIDES)).select(F.lit("und").alias("lang"), *SIDES)
-    sketches = sketches.where("lang <> 'und'").unionByName(every)
+    every = sketches.agg(*(F.kll_merge_agg_double(c).alias(c) for c in SIDES)).select(F.lit("und").alias("lang"), *SIDES).where(F.kll_sketch_get_n_double("n_words") > 0)
+    sketches = sketches.where("lang <> 'und'")
 
     def at(c: str, q: float):
         return F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))
@@ -199,8 +201,11 @@ def scored(measured: DataFrame) -> DataFrame:
         steps = F.kll_sketch_get_quantile_double(F.col(c), F.array(*(F.lit(k / 50) for k in range(51))))
         return F.struct(steps.alias("steps"), middle.alias("middle"), F.greatest(spread, F.lit(FLOORS.get(c, 1e-9))).alias("spread")).alias(f"{c}_of")
 
+    sketches = sketches.where(F.kll_sketch_get_n_double("n_words") >= LEAST_SECTIONS).unionByName(every)
     known = materialize(sketches.select("lang", *(centre(c, side) for c, side in SIDES.items())), "quality-sketches")
-    both = measured.join(F.broadcast(known), "lang")
+    names = [r[0] for r in known.select("lang").collect()]  # no more than `language` knows
+    held = F.when(F.col("lang").isin(names), F.col("lang")).otherwise("und")
+    both = measured.withColumn("held_against", held).join(F.broadcast(known.withColumnRenamed("lang", "held_against")), "held_against").drop("held_against")
     percentiles = {f"{c}_percentile": _percentile(c) for c in SIDES}
     both = both.withColumns(percentiles | {f"{c}_z": (F.col(c) - F.col(f"{c}_of.middle")) / F.col(f"{c}_of.spread") for c in SIDES})
     tails = F.greatest(*(F.col(f"{c}_z") * side for c, side in SIDES.items() if side))

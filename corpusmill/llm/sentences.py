@@ -143,7 +143,8 @@ class Automaton:
                 return True
             return not (following.isupper() or following in "\"“„«([¿¡" or unicodedata.category(following) == "Lo")
         if m := _INITIAL.search(before):
-            return m[1].isupper() or unicodedata.category(m[1]) != "Lu" and following.isalpha() and not m[1].isupper() and m[1].isascii() is False
+            # initials of names; and single small letters before another, as in z. B. or т. е.
+            return m[1].isupper() or re.match(r"[^\W\d_]\.", text[rest : self.end]) is not None or not m[1].isascii() and following.isalpha()
         if re.search(r"(?:^|\D)\d{1,2}\Z", before):
             word = re.match(r"\w+", text[rest : self.end])
             return bool(word and word[0] in MONTHS)
