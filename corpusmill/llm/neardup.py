@@ -180,15 +180,18 @@ def _sketches(how: Sketching):
 
 def _bands(how: Sketching):
     bands = how.bands
-    number = np.arange(len(bands), dtype=np.uint64)
+    number, words = mix(np.arange(len(bands))), -(-how.rows // 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = np.frombuffer(b"".join(batch.column("registers").to_pylist()), dtype=np.uint8).reshape(-1, how.registers)
-            with np.errstate(over="ignore"):
-                h = np.broadcast_to(mix(number), (len(held), len(bands))).copy()
-                for k in range(how.rows):
-                    h = mix(h * np.uint64(257) + held[:, bands[:, k]])
+            # the registers of a band, eight to a word
+            packed = np.zeros((len(held), len(bands), words * 8), dtype=np.uint8)
+            packed[:, :, : how.rows] = held[:, bands]
+            packed = packed.view(np.uint64)
+            h = np.broadcast_to(number, packed.shape[:2])
+            for k in range(words):
+                h = mix(packed[:, :, k] ^ h, k)
             ids = np.repeat(np.asarray(batch.column("key"), dtype=np.int64), len(bands))
             # 44 bits keep the shuffled rows short; a chance collision is one more candidate
             yield pa.record_batch([pa.array((h.ravel() >> np.uint64(20)).view(np.int64)), pa.array(ids)], names=["band", "key"])
