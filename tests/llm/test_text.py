@@ -58,7 +58,7 @@ def test_records(spark):
 
 
 def test_page_slots(spark):
-    page = "<html><head><title>t</title></head><body><div id='top'>Site name</div><a href='/'>Home</a><i>Imprint</i><h1>T{0}</h1><p>Text {0} of its own.</p><ul><li>one {0}</li></ul><pre><code>run</code></pre></body></html>"
+    page = "<html><head><title>t</title></head><body><div id='top'>Site name</div><a href='/'>Home</a><span>Imprint</span><h1>T{0}</h1><p>Text {0} of its own.</p><ul><li>one {0}</li></ul><pre><code>run</code></pre></body></html>"
     rows = [(k, "https://h/x", page.format(k), "t") for k in range(8)] + [(0, "https://h/x", page.format(0), "t"), (20, "u", None, "t"), (21, None, "", "t"), (22, "https://h/y", "<p>cut off <b", "t")]
     df = spark.createDataFrame(rows, "page_id long, url string, text string, template string")
     got = {x.page_id: x.text for x in residue.page_slots(df).collect()}
