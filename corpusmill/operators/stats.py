@@ -52,3 +52,16 @@ def find_texts(pages: DataFrame, condition: Callable[[Column], Column]) -> DataF
 def count_texts(pages: DataFrame, **conditions: Callable[[Column], Column]) -> DataFrame:
     """One row with the number of sections that meet each condition."""
     return texts_of(pages).agg(*(F.count_if(c(F.col("text"))).alias(k) for k, c in conditions.items()))
+
+
+def find_texts_where(pages: DataFrame, predicate: Callable[[str], bool]) -> DataFrame:
+    """find_texts with any Python function of a text; texts go to Python in Arrow batches and only positions come back."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            keep = [predicate(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["url", "idx"])
+
+    found = texts_of(pages).mapInArrow(run, "url string, idx int")
+    return found.groupBy("url").agg(F.sort_array(F.collect_list("idx")).alias("idxs"))

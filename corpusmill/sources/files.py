@@ -72,3 +72,14 @@ def reset(spark: SparkSession, paths: dict[str, StructType]) -> None:
     """Empty stage files of the given schemas."""
     for path, schema in paths.items():
         spark.createDataFrame([], schema).write.mode("overwrite").json(path)
+
+
+def read_frequencies(spark: SparkSession, path: str) -> DataFrame:
+    """word, freq, first_pos of a JSON object {word: count}, whose order is that of first appearance."""
+    rows = [(word, int(n), (k, 0, 0, 0)) for k, (word, n) in enumerate(read_json(path).items())]
+    return spark.createDataFrame(rows, "word string, freq long, first_pos struct<page:long,sec:int,sent:int,pos:int>")
+
+
+def read_vocab(spark: SparkSession, path: str) -> DataFrame:
+    """token of a JSON array of tokens."""
+    return spark.createDataFrame([(t,) for t in dict.fromkeys(read_json(path))], "token string")
