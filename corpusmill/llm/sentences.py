@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.codepoints import flat_sections
+from corpusmill.llm.lookalikes import CYRILLIC, GREEK
 from corpusmill.operators.pages import once_each
 
 # Abbreviations after which a sentence goes on, whatever follows.
@@ -71,6 +73,7 @@ class Trie:
             at -= 1
 
 
+_LATIN = str.maketrans(CYRILLIC | GREEK)
 _INNER, _FINAL = Trie(INNER_ABBREVIATIONS), Trie(FINAL_ABBREVIATIONS)
 _ACRONYM = re.compile(r"(?:^|[^\w.])((?:\w\.){1,5}\w)\Z")
 #: An opening phrase of time or place that ends in an abbreviation is no sentence yet.
@@ -78,6 +81,21 @@ _LEAD = re.compile(r"(?:At|By|In|On|From|Until|Before|After|Since|Around|About|N
 _INITIAL = re.compile(r"(?:^|[\s(\[\"“„«.\-])([^\W\d_])\Z")
 
 
+@cache
+def _shown_char(char: str) -> str:
+    kind = unicodedata.decomposition(char).partition(" ")[0]
+    return "" if unicodedata.category(char) == "Cf" else unicodedata.normalize("NFKC", char) if kind == "<wide>" else char
+
+
+def _shown(text: str) -> str:
+    """A text without invisible characters, letters in their usual width; Latin look-alikes in mixed words become Latin."""
+    text = "".join(map(_shown_char, text))
+    word = text[max(text.rfind(" "), text.rfind("\n")) + 1 :]
+    if re.search("[A-Za-z]", word):
+        text = text[: len(text) - len(word)] + word.translate(_LATIN)
+    return text
+
+
 def _skip(text: str, at: int, end: int) -> int:
     """The next place with a character that is seen."""
     while at < end and (text[at].isspace() or unicodedata.category(text[at]) == "Cf"):
@@ -132,13 +150,16 @@ class Automaton:
     def abbreviates(self, at: int, following: str, rest: int) -> bool:
         """Whether the full stop at `at` belongs to the word before it, so that the sentence goes on."""
         text = self.text
-        before = text[max(0, at - 24) : at]
-        if _INNER.ends(text, at):
+        before = text[max(0, at - 48) : at]
+        if not before.isascii():
+            before = _shown(before)
+        if _INNER.ends(before, len(before)):
             return True
-        if _FINAL.ends(text, at) or _ACRONYM.search(before):
+        final = _FINAL.ends(before, len(before))
+        if final or _ACRONYM.search(before):
             if following.isdigit() and not _LEAD.match(text[self.start : at]):
                 # a number that counts something can begin a sentence, a year after a name does not
-                return _FINAL.ends(text, at) and before.lower().endswith("al") or not re.match(r"\d+\s+[^\W\d]", text[rest : self.end])
+                return final and before.lower().endswith("al") or not re.match(r"\d+\s+[^\W\d]", text[rest : self.end])
             if _LEAD.match(text[self.start : at]):
                 return True
             return not (following.isupper() or following in "\"“„«([¿¡" or unicodedata.category(following) == "Lo")
