@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -152,6 +153,10 @@ _WIDE_TO = "".join(map(chr, range(0x21, 0x7F)))
 def _looks_sql() -> str:
     """Look-alikes by plain replacement: what the mapping of code points does to characters that pages hold."""
     alike = {k: v for k, v in lookalikes.LOOK_ALIKE.items() if len(v) == 1 and v != "'"}
+    for c in map(chr, [*range(0x370, 0x530), *range(0x1F00, 0x2000)]):  # Greek and Cyrillic letters with accents
+        shown = unicodedata.normalize("NFC", lookalikes.shape(c))
+        if len(shown) == 1 and shown != c:
+            alike[c] = shown
     signs = "".join(alike) + "‑", "".join(alike.values()) + "-"
     quote = lambda s: s.replace("'", "''")
     form = f"translate(s, '{quote(_WIDE_FROM)}', '{quote(_WIDE_TO)}')"
