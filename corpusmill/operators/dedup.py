@@ -31,9 +31,12 @@ class Banding:
 
 
 def ngrams(text: Column, n: int) -> Column:
-    """Distinct n-grams of a text; null for texts shorter than n."""
-    starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-    return F.when(F.length(text) >= n, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))))
+    """Distinct n-grams of a text, in the order of their first places; null for texts shorter than n.
+
+    One pass of a look-ahead; it does not begin inside a pair of surrogates.
+    """
+    every = F.regexp_extract_all(text, F.lit(rf"(?s)(?!\p{{Cs}})(?=(.{{{n}}}))"), F.lit(1))
+    return F.when(F.length(text) >= n, F.array_distinct(every))
 
 
 def murmur3(data: np.ndarray, seeds: np.ndarray) -> np.ndarray:

@@ -22,6 +22,13 @@ def test_signature_is_least_hash_of_grams():
     assert (got[0] == want).all() and got[1] is None and got[2] is None and (got[3] == want).all()
 
 
+def test_ngrams(spark):
+    texts = ["ababab", "\U0001f600a\U0001f600b\nc", "abc", None, "größe"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(dedup.ngrams(F.col("t"), 4))
+    want = [None if t is None or len(t) < 4 else list(dict.fromkeys(t[k : k + 4] for k in range(len(t) - 3))) for t in texts]
+    assert [r[0] for r in df.collect()] == want
+
+
 def test_parameters():
     with pytest.raises(ValueError):
         dedup.Banding(signature_len=10, band_size=3)
