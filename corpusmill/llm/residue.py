@@ -250,71 +250,178 @@ _PIECES = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^
 INLINE = frozenset("a abbr b bdi cite code em font i kbd mark math annotation q ref s samp small strike strong sub sup tt u var".split())
 
 
+# Elements without an end tag.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
 def page_pieces(page: str) -> Iterator[tuple[str, str, str]]:
     """(token, piece, kind) of each tag and piece of text; comments, scripts and styles are left out.
 
-    Tags are told apart by name and class or id. Kind is 'tag', 'start' for text that begins what an element holds, or 'text'.
+    Tags are told apart by name and class or id, end tags by those of the tag that they close. Kind is 'tag', 'start' for
+    text that begins what an element holds, 'heading' for text of a heading, or 'text'.
     """
-    opened = False
+    opened = heading = False
+    held: dict[str, list[str]] = {}
     for m in _PIECES.finditer(page):
         piece = m.group()
         if m.group(1) or piece.startswith(("<!", "<?")):
             continue
         if tag := re.match(r"<(/?)([A-Za-z][\w-]*)", piece):
             name = tag[2].lower()
-            cls = re.search(r'\b(?:class|id)\s*=\s*"([^"]*)"', piece)
+            if tag[1]:
+                kind = held[name].pop() if held.get(name) else name
+            else:
+                cls = re.search(r'\b(?:class|id)\s*=\s*"([^"]*)"', piece)
+                kind = f"{name}.{cls[1]}" if cls else name
+                if name not in VOID:
+                    held.setdefault(name, []).append(kind)
             opened = not tag[1] and name not in INLINE
-            yield f"<{tag[1]}{name}{'.' + cls[1] if cls and not tag[1] else ''}>", piece, "tag"
+            if name not in INLINE and name not in VOID and name != "span":
+                heading = not tag[1] and name in _HEADS
+            yield f"<{tag[1]}{kind}>", piece, "tag"
         else:
             token = " ".join(html.unescape(piece).split())
-            yield token[:200], piece, "start" if opened and token else "text"
+            yield token[:200], piece, "heading" if heading else "start" if opened and token else "text"
             opened = opened and not token
 
 
-def _page_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from collections import Counter
+_MATH = re.compile(r"<annotation\b[^<>]*>(.*?)</annotation>", re.S | re.I)
+
+
+def _body(page: str) -> str:
+    """A page without its head, with formulas in dollars."""
+    page = re.sub(r"<head\b.*?</head>", "", page, flags=re.S | re.I)
+    return re.sub(r"<math\b.*?</math>", lambda m: "$" + (a[1].strip() if (a := _MATH.search(m[0])) else "") + "$", page, flags=re.S | re.I)
+
+
+def _page_tokens(page: str) -> list[str]:
+    """The tokens of a page that may be in a template, in order."""
+    return [t for t, _, kind in page_pieces(_body(page)) if kind in ("tag", "start")]
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from hashlib import blake2b
 
     for batch in batches:
-        ids = np.asarray(batch.column("page_id"), dtype=np.int64)
-        weights = (mix(ids.view(np.uint64), 5) >> np.uint64(24)).astype(np.int64)
-        sums: Counter = Counter()
-        pages: Counter = Counter()
-        places: Counter = Counter()
-        for host, text, w in zip(batch.column("host").to_pylist(), batch.column("text").to_pylist(), weights.tolist(), strict=True):
-            tokens = [t for t, _, kind in page_pieces(text or "") if kind != "text"]
-            first = {}
-            for k, t in enumerate(tokens):
-                first.setdefault(t, k)
-            for t, n in Counter(tokens).items():
-                key = (host, t)
-                sums[key] += w * n
-                pages[key] += 1
-                places[key] += first[t]
-        keys = list(sums)
-        wrapped = [(sums[k] + 2**63) % 2**64 - 2**63 for k in keys]
-        yield pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(wrapped, pa.int64()), pa.array([pages[k] for k in keys], pa.int64()), pa.array([places[k] for k in keys], pa.int64())], names=["host", "token", "vector", "n_pages", "places"])
-
-
-#: Share of a host's pages on which a class must occur to be part of its template.
-TEMPLATE_SHARE = 0.1
+        prints = [blake2b(" ".join(_body(t or "").split()).encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in batch.column("text").to_pylist()]
+        yield pa.record_batch([batch.column("page_id"), batch.column("host"), pa.array(prints, pa.binary())], names=["page_id", "host", "body"])
+
+
+def _page_vectors(sign: int):
+    """Occurrence vectors of a task's pages as sums, with a sign; the empty token, which is none, counts the pages of a host."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from collections import Counter
+
+        for batch in batches:
+            ids = np.asarray(batch.column("page_id"), dtype=np.int64)
+            weights = (mix(ids.view(np.uint64), 5) >> np.uint64(24)).astype(np.int64)
+            sums: Counter = Counter()
+            pages: Counter = Counter()
+            for host, text, w in zip(batch.column("host").to_pylist(), batch.column("text").to_pylist(), weights.tolist(), strict=True):
+                for t, n in Counter(["", *_page_tokens(text or "")]).items():
+                    sums[host, t] += sign * w * n
+                    pages[host, t] += sign
+            keys = list(sums)
+            wrapped = [(sums[k] + 2**63) % 2**64 - 2**63 for k in keys]
+            yield pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array(wrapped, pa.int64()), pa.array([pages[k] for k in keys], pa.int64())], names=["host", "token", "vector", "n_pages"])
+
+    return run
+
+
+def tags_nest(tokens: list[str]) -> bool:
+    """Whether the tags among the tokens of a class nest, as far as both tags of an element are in it."""
+    held, stack = set(tokens), []
+    for t in tokens:
+        if t.startswith("</") and "<" + t[2:] in held:
+            if not stack or stack.pop() != t:
+                return False
+        elif t.startswith("<") and not t.startswith("</") and "</" + t[1:] in held:
+            stack.append("</" + t[1:])
+    return not stack
+
+
+def judged_classes(tokens: list[str], of: dict[str, str], rank: dict[str, tuple]) -> dict[str, tuple[str, bool]]:
+    """For each class on a page: the order of its tokens, and whether it is valid there.
+
+    `of` gives the class of a token and `rank` that of a class. A class is valid if its tokens come in one order, as often
+    as they come, if its tags nest, and if it is not crossed by a class of a higher rank: each time it comes it must lie
+    between two neighbouring tokens of the other, or the other way round.
+    """
+    own: dict[str, list[str]] = {}
+    for t in tokens:
+        if t in of:
+            own.setdefault(of[t], []).append(t)
+    sizes = {c: len(set(x)) for c, x in own.items()}
+    good = {c for c, x in own.items() if len(x) % sizes[c] == 0 and len(set(x[: sizes[c]])) == sizes[c] and x == x[: sizes[c]] * (len(x) // sizes[c]) and tags_nest(x[: sizes[c]])}
+    crossed: set[str] = set()
+    stack: list[str] = []  # classes that have begun and not ended
+    seen = dict.fromkeys(good, 0)
+    for t in tokens:
+        if (c := of.get(t)) not in good:
+            continue
+        if seen[c] % sizes[c]:
+            at = len(stack) - 1 - stack[::-1].index(c)
+            crossed.update(min(c, x, key=rank.__getitem__) for x in stack[at + 1 :])
+            if not (seen[c] + 1) % sizes[c]:
+                del stack[at]
+        elif sizes[c] > 1:
+            stack.append(c)
+        seen[c] += 1
+    return {c: ("\n".join(x[: sizes[c]]), c in good and c not in crossed) for c, x in own.items()}
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from hashlib import blake2b
+
+    for batch in batches:
+        known: dict[str, tuple[dict, dict]] = {}
+        seen: set[tuple[str, str, str, bool]] = set()
+        hosts, classes = batch.column("host").to_pylist(), batch.column("classes")
+        for k, (host, text) in enumerate(zip(hosts, batch.column("text").to_pylist(), strict=True)):
+            if host not in known:
+                every = classes[k].as_py()
+                of = {x["token"]: x["class"] for x in every}
+                known[host] = of, {x["class"]: (x["n_pages"], x["size"], x["class"]) for x in every}
+            found = judged_classes(_page_tokens(text or ""), *known[host])
+            seen.update((host, c, blake2b(order.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest(), valid) for c, (order, valid) in found.items())
+        columns = list(zip(*seen, strict=True)) or [[]] * 4
+        yield pa.record_batch([*(pa.array(x, pa.string()) for x in columns[:3]), pa.array(columns[3], pa.bool_())], names=["host", "class", "ordered", "valid"])
+
+
+#: Share of a host's different pages beyond which a class must occur to be part of its template.
+TEMPLATE_SHARE = 0.5
 #: Least number of tokens in a class.
 CLASS_SIZE = 2
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host, token, class, place: the valid equivalence classes of each host, their tokens in the order of the page.
+    """host, token, class: the valid equivalence classes of each host.
 
     A token's occurrence vector is summed up as one number, each page weighing a random amount, so that vectors are
-    compared without being gathered. `pages` has page_id, host and text.
+    compared without being gathered. Of the pages of a host with one body one counts: the others' sums are taken off
+    again. A class counts if it is on at least LEAST_PAGES and on more than TEMPLATE_SHARE of the pages, and valid on each
+    page (`judged_classes`) with its tokens in one order throughout. `pages` has page_id (unique), host and text.
     """
-    vectors = pages.mapInArrow(_page_vectors, "host string, token string, vector long, n_pages long, places long")
-    tokens = vectors.groupBy("host", "token").agg(F.expr("sum(cast(vector as decimal(20,0))) % 18446744073709551616").alias("vector"), F.sum("n_pages").alias("n_pages"), F.sum("places").alias("places"))
-    tokens = materialize(tokens.where(F.col("n_pages") > 1), "page-tokens")
-    most = tokens.groupBy("host").agg(F.max("n_pages").alias("host_pages"))
-    frequent = tokens.join(most, "host").where(F.col("n_pages") >= TEMPLATE_SHARE * F.col("host_pages"))
-    sizes = frequent.groupBy("host", "vector").agg(F.count("*").alias("size"))
-    kept = frequent.join(sizes, ["host", "vector"]).where(F.col("size") >= CLASS_SIZE)
-    return kept.select("host", "token", F.col("vector").cast("string").alias("class"), (F.col("places") / F.col("n_pages")).alias("place"))
+    from corpusmill.llm.terms import _only
+
+    shown = "host string, token string, vector long, n_pages long"
+    bodies = materialize(pages.mapInArrow(_bodies, "page_id long, host string, body binary"), "page-bodies")
+    firsts = bodies.groupBy("host", "body").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    again = materialize(salted_join(bodies, firsts, ["host", "body"]).where("page_id <> first").select("page_id"), "page-bodies-again")
+    vectors = pages.mapInArrow(_page_vectors(1), shown).unionByName(_only(pages, again).mapInArrow(_page_vectors(-1), shown))
+    tokens = vectors.groupBy("host", "token").agg(F.expr("pmod(sum(cast(vector as decimal(20,0))), 18446744073709551616)").alias("vector"), F.sum("n_pages").alias("n_pages"))
+    tokens = materialize(tokens.where(F.col("n_pages") >= LEAST_PAGES), "page-tokens")
+    every = tokens.where("token = ''").select("host", F.col("n_pages").alias("host_pages"))
+    frequent = tokens.where("token <> ''").join(every, "host").where(F.col("n_pages") > TEMPLATE_SHARE * F.col("host_pages"))
+    frequent = frequent.select("host", "token", "n_pages", F.col("vector").cast("string").alias("class"))
+    sizes = frequent.groupBy("host", "class").agg(F.count("*").alias("size")).where(F.col("size") >= CLASS_SIZE)
+    kept = materialize(frequent.join(sizes, ["host", "class"]), "page-classes")
+    asked = kept.groupBy("host").agg(F.collect_list(F.struct("token", "class", "n_pages", "size")).alias("classes"))
+    judged = salted_join(pages, asked, ["host"]).select("host", "text", "classes").mapInArrow(_judge, "host string, class string, ordered string, valid boolean")
+    valid = judged.groupBy("host", "class").agg(F.every("valid").alias("valid"), (F.min("ordered") == F.max("ordered")).alias("one_order")).where("valid and one_order")
+    return kept.join(valid.select("host", "class"), ["host", "class"]).select("host", "token", "class")
 
 
 def page_slots(pages: DataFrame) -> DataFrame:
@@ -322,8 +429,8 @@ def page_slots(pages: DataFrame) -> DataFrame:
     formulas in the format of the parsed pages.
 
     `pages` has page_id, url and text; a page in several rows counts once; null and empty pages give no row. The text
-    tokens of the templates are broadcast: there are no more than pages' tokens that occur on TEMPLATE_SHARE of a host's
-    pages, so a host adds at most 1/TEMPLATE_SHARE of the tokens of its average page; hosts are joined, not broadcast.
+    tokens of a host's template travel with its pages: they occur on more than TEMPLATE_SHARE of the pages, so they are at
+    most 1/TEMPLATE_SHARE of the tokens of its average page; hosts are joined, not broadcast.
     """
     pages = pages.where("page_id is not null and text is not null and text <> ''").select("page_id", host_of("url").alias("host"), "text")
     from corpusmill.operators.pages import once_each
@@ -340,13 +447,8 @@ def page_slots(pages: DataFrame) -> DataFrame:
     return both.select("page_id", "text", "template").mapInArrow(extract, "page_id long, text string")
 
 
-_MATH = re.compile(r"<annotation\b[^<>]*>(.*?)</annotation>", re.S | re.I)
-
-
 def slot_text(page: str, template: frozenset[str]) -> str:
     """The text in a page's slots; what stands in the template is left out, the structure of the tags is kept."""
-    page = re.sub(r"<head\b.*?</head>", "", page, flags=re.S | re.I)
-    page = re.sub(r"<math\b.*?</math>", lambda m: "$" + (a[1].strip() if (a := _MATH.search(m[0])) else "") + "$", page, flags=re.S | re.I)
-    parts = [piece for token, piece, kind in page_pieces(page) if kind != "start" or token not in template]
+    parts = [piece for token, piece, kind in page_pieces(_body(page)) if kind != "start" or token not in template]
     text = clean_text("".join(parts)) or ""
     return re.sub(r"\n{3,}", "\n\n", re.sub(r"^#{1,6}[ ]*$", "", text, flags=re.M))

@@ -68,6 +68,32 @@ def test_page_slots(spark):
     assert residue.page_slots(df.limit(0)).count() == 0
 
 
+def slots(spark, pages):
+    df = spark.createDataFrame([(k, "https://h/x", p) for k, p in enumerate(pages)], "page_id long, url string, text string")
+    return {x.page_id: x.text for x in residue.page_slots(df).collect()}
+
+
+def test_copied_pages_are_no_template(spark):
+    own = "<body><div class='top'>Site name</div><h2>References</h2><p>Page {0} first.</p><p>Page {0} second.</p></body>"
+    got = slots(spark, [own.format(k) for k in range(6)] + [own.format("copied")] * 8)
+    assert all("Page copied first." in got[k] and "Page copied second." in got[k] for k in range(6, 14))
+    assert all("Site name" not in x and "## References" in x for x in got.values())
+    shared = "<body><p>Shared one.</p><p>Shared two.</p></body>"
+    got = slots(spark, [own.format(k) for k in range(6)] + [shared.replace("</body>", f"<p>{k}</p></body>") for k in range(2)])
+    assert "Shared one." in got[6] and "Shared two." in got[7]
+
+
+def test_classes_have_one_order_and_nest(spark):
+    turned = ["<p>One sign.</p><p>Other sign.</p>", "<p>Other sign.</p><p>One sign.</p>"]
+    got = slots(spark, [f"<body>{turned[k % 2]}<p>Text {k}.</p></body>" for k in range(6)])
+    assert all("One sign." in x and "Other sign." in x for x in got.values())
+    rank = {"1": (9, 2, "1"), "2": (8, 2, "2")}
+    of = {"a": "1", "b": "1", "c": "2", "d": "2"}
+    valid = lambda text: {c: v for c, (_, v) in residue.judged_classes(text.split(), of, rank).items()}
+    assert valid("a c d b a c d c d b") == {"1": True, "2": True} and valid("a c b d") == {"1": True, "2": False} and valid("a b b a c d") == {"1": False, "2": True}
+    assert residue.tags_nest(["<a>", "<b>", "x", "</b>", "</a>"]) and not residue.tags_nest(["<a>", "<b>", "</a>", "</b>"])
+
+
 PROSE = "The mill by the river was sold in 1900. It was closed when the council moved to the town, and nobody wanted it. They left it to the rain."
 JUNK = [
     "\n".join(f"- old mill of Town{k}" for k in range(12)), "\n".join(f"{k}. Name ({1900 + k})" for k in range(12)), "id,name,n\n" + "\n".join(f"{k},Aname,{k * 7}" for k in range(12)),
