@@ -12,6 +12,7 @@ import html
 import re
 from collections.abc import Iterator
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -255,6 +256,11 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 _HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+def text_token(words: str) -> str:
+    """A token for the whole of a text, however long: its length and a hash of 128 bits."""
+    return f"{len(words)}:{blake2b(words.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
+
+
 def page_pieces(page: str) -> Iterator[tuple[str, str, str]]:
     """(token, piece, kind) of each tag and piece of text; comments, scripts and styles are left out.
 
@@ -281,9 +287,9 @@ def page_pieces(page: str) -> Iterator[tuple[str, str, str]]:
                 heading = not tag[1] and name in _HEADS
             yield f"<{tag[1]}{kind}>", piece, "tag"
         else:
-            token = " ".join(html.unescape(piece).split())
-            yield token[:200], piece, "heading" if heading else "start" if opened and token else "text"
-            opened = opened and not token
+            words = " ".join(html.unescape(piece).split())
+            yield text_token(words), piece, "heading" if heading else "start" if opened and words else "text"
+            opened = opened and not words
 
 
 _MATH = re.compile(r"<annotation\b[^<>]*>(.*?)</annotation>", re.S | re.I)
@@ -301,8 +307,6 @@ def _page_tokens(page: str) -> list[str]:
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from hashlib import blake2b
-
     for batch in batches:
         prints = [blake2b(" ".join(_body(t or "").split()).encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in batch.column("text").to_pylist()]
         yield pa.record_batch([batch.column("page_id"), batch.column("host"), pa.array(prints, pa.binary())], names=["page_id", "host", "body"])
@@ -373,8 +377,6 @@ def judged_classes(tokens: list[str], of: dict[str, str], rank: dict[str, tuple]
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from hashlib import blake2b
-
     for batch in batches:
         known: dict[str, tuple[dict, dict]] = {}
         seen: set[tuple[str, str, str, bool]] = set()

@@ -94,6 +94,13 @@ def test_classes_have_one_order_and_nest(spark):
     assert residue.tags_nest(["<a>", "<b>", "x", "</b>", "</a>"]) and not residue.tags_nest(["<a>", "<b>", "</a>", "</b>"])
 
 
+def test_texts_that_only_begin_alike_are_no_template(spark):
+    notice = "This page is kept by the council. " * 8
+    page = "<body><div>Site name</div><p>" + notice + "{0}</p></body>"
+    got = slots(spark, [page.format("") for k in range(1)] + [page.format(f"Own words {k}.") for k in range(5)])
+    assert all(f"Own words {k}." in got[k + 1] and "Site name" not in got[k + 1] for k in range(5))
+
+
 PROSE = "The mill by the river was sold in 1900. It was closed when the council moved to the town, and nobody wanted it. They left it to the rain."
 JUNK = [
     "\n".join(f"- old mill of Town{k}" for k in range(12)), "\n".join(f"{k}. Name ({1900 + k})" for k in range(12)), "id,name,n\n" + "\n".join(f"{k},Aname,{k * 7}" for k in range(12)),
