@@ -111,6 +111,16 @@ def _at():
     return F.struct("page_id", "idx")
 
 
+def signature_classes(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """at, sig: the last section of each signature; and at, last: every other section with the one that stands for it.
+
+    `signed` has at (place) and sig. Sections of one signature share all bands, whether their texts are equal or not.
+    """
+    lasts = materialize(signed.groupBy("sig").agg(F.max("at").alias("last"), F.count("*").alias("n")), "kinds")
+    members = salted_join(signed.select("sig", "at"), lasts.where("n > 1").select("sig", "last"), ["sig"])
+    return lasts.select(F.col("last").alias("at"), "sig"), members.where(F.col("at") < F.col("last")).select("at", "last")
+
+
 def candidates(kinds: DataFrame, how: Banding) -> DataFrame:
     """band, first_in_band, a, b: pairs of sections that share a band, in the order of their places; first_in_band is the
     first place of the bucket. `kinds` has at (place) and sig, one row for each distinct signature.

@@ -144,10 +144,13 @@ def minhash_signatures(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lsh_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Sections that share a band. Those of one signature are a class that its last section stands for: each other one has
+    a row with it, marked same_signature; the other rows are pairs of classes, and hold for all sections of both."""
     signed = materialize(dedup.signatures(pages(spark, d, "normalize_data")).withColumn("at", F.struct("page_id", "idx")), "signatures")
-    kinds = signed.groupBy("sig").agg(F.max("at").alias("at"))
-    pairs = dedup.candidates(materialize(kinds, "kinds"), dedup.Banding()).select("a", "b").distinct()
-    return pairs.select(F.col("a.page_id").alias("page_a"), F.col("a.idx").alias("idx_a"), F.col("b.page_id").alias("page_b"), F.col("b.idx").alias("idx_b"))
+    kinds, members = dedup.signature_classes(signed)
+    pairs = dedup.candidates(kinds, dedup.Banding()).select("a", "b").distinct()
+    every = members.select(F.col("at").alias("a"), F.col("last").alias("b"), F.lit(True).alias("same_signature")).unionByName(pairs.withColumn("same_signature", F.lit(False)))
+    return every.select(F.col("a.page_id").alias("page_a"), F.col("a.idx").alias("idx_a"), F.col("b.page_id").alias("page_b"), F.col("b.idx").alias("idx_b"), "same_signature")
 
 
 def deduplicate(spark: SparkSession, d: str) -> DataFrame:

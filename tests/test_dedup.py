@@ -93,3 +93,23 @@ def test_segmented(spark):
     assert got[2] is None and got[1][0] == ["Dr. A. Smith came.", "He left!", "(Then) he said: \"No.\"", "Then he went."]
     assert got[1][1:] == [None, [""]]
     assert len(segment.segmented(pages, omit_duplicates=False).first().text_list) == 4
+
+
+def test_lsh_candidates_hold_every_section(spark, tmp_path):
+    from corpusmill.plans.queries import lsh_candidates
+
+    base = "the old mill by the river was sold to the council in the spring of that year and then closed for good"
+    turned = base + " " + base  # other text, nearly the same pieces
+    ring = [("abcdef" * 9)[k : k + 40] for k in range(2)]  # different texts of the same pieces: equal signatures
+    texts = [base, base, turned, ring[0], ring[1], "words that nobody wrote before or since", "abc", None]
+    rows = [(p, f"https://h/{p}", [t]) for p, t in enumerate(texts)]
+    spark.createDataFrame(rows, "page_id long, url string, text_list array<string>").write.parquet(str(tmp_path / "normalize_data.parquet"))
+    sig = dedup.minhash(texts, dedup.Banding())
+    bands = [{(b, s[b : b + 16].tobytes()) for b in range(0, 128, 16)} if s is not None else set() for s in sig]
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if bands[a] & bands[b]}
+    assert {(0, 1), (3, 4)} <= want
+    got = lsh_candidates(spark, str(tmp_path)).collect()
+    of = {x.page_a: x.page_b for x in got if x.same_signature}
+    linked = {(x.page_a, x.page_b) for x in got if not x.same_signature}
+    own = lambda p: of.get(p, p)
+    assert {(a, b) for b in range(len(texts)) for a in range(b) if own(a) == own(b) or {(own(a), own(b)), (own(b), own(a))} & linked} == want
