@@ -7,6 +7,7 @@ z-score, its distance from the median in units of the interquartile range, and f
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -43,12 +44,18 @@ _HEADING = re.compile(r"\A#{1,6} [^\n]*(?:\n|\Z)")
 SIDES = {"prose_share": -1, "common_share": 0, "symbol_share": 1, "digit_share": 1, "entry_share": 1, "repeat_share": 1, "mean_word_length": 0, "end_share": 0, "n_words": 0, "n_lines": 0, "n_chars": 0}
 #: Least spread of a statistic that counts as one robust standard deviation, where most values are the same.
 FLOORS = {"prose_share": 0.08, "common_share": 0.05, "symbol_share": 0.05, "digit_share": 0.05, "entry_share": 0.1, "repeat_share": 0.08}
-#: Sections that a language must have for distributions of its own.
+#: Sections at which a language's own distribution weighs as much as that of all languages.
 LEAST_SECTIONS = 100
 #: Robust z-score beyond which a tail is junk.
 FAR = 6.0
 
 
+@cache
+def _is_mark(c: str) -> bool:
+    """Whether a character is a mark of the letter before it, as vowel signs of Indic and Thai scripts are."""
+    return unicodedata.category(c)[0] == "M"
+
+
 @cache
 def _script_ranges() -> list[tuple[str, re.Pattern]]:
     return [(lang, re.compile(f"[{a}-{b}]")) for lang, (a, b) in SCRIPTS.items()] + [("zh", re.compile(f"[{HAN[0]}-{HAN[1]}]"))]
@@ -104,7 +111,7 @@ def statistics(text: str | None) -> tuple:
     letters = sum(map(str.isalpha, body)) if not body.isascii() else len(re.findall("[A-Za-z]", body))
     digits = sum(map(body.count, "0123456789"))
     marks = sum(map(body.count, ".,;:!?'\"-()"))
-    symbols = max(0, dense - letters - digits - marks) if body.isascii() else max(0, sum(not c.isalnum() and not c.isspace() for c in body) - marks - sum(map(body.count, "“”‘’„«»—–।。、，！？：「」؟،")))
+    symbols = max(0, dense - letters - digits - marks) if body.isascii() else max(0, sum(not c.isalnum() and not c.isspace() and not _is_mark(c) for c in body) - marks - sum(map(body.count, "“”‘’„«»—–।。、，！？：「」؟،")))
     lines = [x for x in body.split("\n") if x.strip()]
     known = _EVERY.get(lang, _ANY)
     common = sum(w in known for w in words)
@@ -184,28 +191,29 @@ def _percentile(c: str):
 def scored(measured: DataFrame) -> DataFrame:
     """`measured` with, for each statistic x, x_percentile and x_z, and `junk`: a tail on the side of junk beyond FAR.
 
-    The spread is taken on the other side of the median, which junk does not widen. Sections whose language is not known
-    or has less than LEAST_SECTIONS are held against all languages together, by merging the sketches. The sketches are one row for each language that
+    The spread is taken on the other side of the median, which junk does not widen. A language's quantiles are drawn
+    towards those of all languages together, with its n sections weighing n and these LEAST_SECTIONS, whatever n is;
+    sections whose language is not known are held against all. The sketches are one row for each language that
     `language` knows, so their broadcast is bounded; they are partially aggregated, whatever a language's share of the rows.
     """
     sketches = measured.groupBy("lang").agg(*(F.kll_sketch_agg_double(c).alias(c) for c in SIDES))
-    every = sketches.agg(*(F.kll_merge_agg_double(c).alias(c) for c in SIDES)).select(F.lit("und").alias("lang"), *SIDES).where(F.kll_sketch_get_n_double("n_words") > 0)
-    sketches = sketches.where("lang <> 'und'")
+    every = sketches.agg(*(F.kll_merge_agg_double(c).alias(c) for c in SIDES)).where(F.kll_sketch_get_n_double("n_words") > 0)
 
-    def at(c: str, q: float):
-        return F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))
+    def quantiles(c: str):
+        steps = F.kll_sketch_get_quantile_double(F.col(c), F.array(*(F.lit(k / 50) for k in range(51))))
+        return F.concat(steps, F.kll_sketch_get_quantile_double(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
 
     def centre(c: str, side: int):
-        middle, low, high = at(c, 0.5), at(c, 0.25), at(c, 0.75)
+        drawn = F.zip_with(c, f"{c}_all", lambda own, of_all: of_all + (own - of_all) * F.col("weight"))
+        low, middle, high = (F.element_at(drawn, k) for k in (52, 53, 54))
         spread = (high - low) / 1.349 if not side else ((high - middle) if side < 0 else (middle - low)) / 0.6745
-        steps = F.kll_sketch_get_quantile_double(F.col(c), F.array(*(F.lit(k / 50) for k in range(51))))
-        return F.struct(steps.alias("steps"), middle.alias("middle"), F.greatest(spread, F.lit(FLOORS.get(c, 1e-9))).alias("spread")).alias(f"{c}_of")
+        return F.struct(F.slice(drawn, 1, 51).alias("steps"), middle.alias("middle"), F.greatest(spread, F.lit(FLOORS.get(c, 1e-9))).alias("spread")).alias(f"{c}_of")
 
-    sketches = sketches.where(F.kll_sketch_get_n_double("n_words") >= LEAST_SECTIONS).unionByName(every)
-    known = materialize(sketches.select("lang", *(centre(c, side) for c, side in SIDES.items())), "quality-sketches")
-    names = [r[0] for r in known.select("lang").collect()]  # no more than `language` knows
-    held = F.when(F.col("lang").isin(names), F.col("lang")).otherwise("und")
-    both = measured.withColumn("held_against", held).join(F.broadcast(known.withColumnRenamed("lang", "held_against")), "held_against").drop("held_against")
+    n = F.kll_sketch_get_n_double("n_words")
+    weight = F.when(F.col("lang") == "und", 0.0).otherwise(n / (n + LEAST_SECTIONS)).alias("weight")
+    drawn = sketches.select("lang", weight, *(quantiles(c).alias(c) for c in SIDES)).join(F.broadcast(every.select(*(quantiles(c).alias(f"{c}_all") for c in SIDES))))  # one row
+    known = materialize(drawn.select("lang", *(centre(c, side) for c, side in SIDES.items())), "quality-sketches")
+    both = measured.join(F.broadcast(known), "lang")
     percentiles = {f"{c}_percentile": _percentile(c) for c in SIDES}
     both = both.withColumns(percentiles | {f"{c}_z": (F.col(c) - F.col(f"{c}_of.middle")) / F.col(f"{c}_of.spread") for c in SIDES})
     tails = F.greatest(*(F.col(f"{c}_z") * side for c, side in SIDES.items() if side))

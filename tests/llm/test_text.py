@@ -121,6 +121,21 @@ def test_quality(spark):
     assert quality.quality(df.limit(0)).count() == 0
 
 
+HINDI = "लड़की ने किताब पढ़ी और फिर वह नदी के किनारे चली गई। उसके भाई ने उसे देखा और वह घर लौट आई।"
+
+
+def test_quality_is_alike_at_every_size(spark):
+    assert quality.statistics(HINDI)[0] == "hi" and quality.statistics(HINDI)[3] < 0.05
+    english = [(k, [PROSE + f" It was {k}."]) for k in range(200)]
+    z = {}
+    for n in (3, 99, 100, 101):
+        df = spark.createDataFrame(english + [(1000 + k, [HINDI + f" {k} ।"]) for k in range(n)] + [(5000, ["5_4|~|+.:-1 9+6.*_5 नदी\n" * 5])], "page_id long, text_list array<string>")
+        got = {x.page_id: x for x in quality.quality(df).collect()}
+        assert not any(got[1000 + k].junk for k in range(n)) and not any(got[k].junk for k in range(200)) and got[5000].junk
+        z[n] = got[1000].mean_word_length_z, got[1000].digit_share_z
+    assert all(abs(a - b) < 0.2 * max(1, abs(a)) for a, b in zip(z[99], z[100], strict=True))
+
+
 CASES = [
     ("# Title\n\nOne. Two!\n\n  • item one\n  • item two\n", ["# Title", "One.", "Two!", "• item one", "• item two"]),
     ("Dr. Who met Mrs. Ann, e.g. near St. Paul, cf. Lee et al. 1930, and left.", 1),
