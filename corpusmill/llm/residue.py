@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.codepoints import flat_sections, mix
+from corpusmill.functions.prefilter import key_filter
 from corpusmill.session import materialize, salted_join
 
 # Elements of HTML, and of wiki text in angle brackets.
@@ -28,8 +29,9 @@ cite code col colgroup data datalist dd del details dfn dialog dir div dl dt em
 frame frameset h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main map mark math menu meta
 meter nav noframes noscript object ol optgroup option output p param picture pre progress q rp rt ruby s samp script section
 select small source span strike strong style sub summary sup svg table tbody td template textarea tfoot th thead time title tr
-track tt u ul var video wbr annotation semantics mrow ref references nowiki gallery includeonly noinclude onlyinclude poem
-syntaxhighlight timeline""".split()
+track tt u ul var video wbr annotation mrow ref references nowiki gallery includeonly noinclude onlyinclude poem
+syntaxhighlight timeline ce chem score hiero templatestyles mi mo mn ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom
+msup msub msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd menclose mfenced maction semantics""".split()
 _NAMES = "|".join(sorted(ELEMENTS, key=len, reverse=True))
 
 #: Formulas of the parser's own format; their insides are no markup.
@@ -53,7 +55,9 @@ CERTAIN = re.compile(
     re.X | re.M | re.I,
 )
 _NAMED = re.compile(r"&([A-Za-z][A-Za-z0-9]{1,31};)")
-_TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(?:\s[^<>]*)?(/?)>")
+_TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(?:\s[^<>]*?)?(/?)>")
+_ATTRIBUTED = re.compile(r"""<([A-Za-z][\w:-]*)(?:\s+[\w:-]+\s*=\s*(?:"[^"<>]*"|'[^'<>]*'))+\s*/?>""")
+_KNOWN = frozenset(ELEMENTS)
 #: Without any of these there is no markup; a quick look before the slow one.
 _SIGNS = re.compile(r"[<`\\~>\[{*_|=+]|&[#A-Za-z]|''|^-{3}|^;|^:+ ?'|^#R", re.M)
 
@@ -64,7 +68,7 @@ def certain(text: str) -> bool:
         return False
     if "$" in text:
         text = FORMULA.sub(" ", text)
-    return CERTAIN.search(text) is not None or any(n in html.entities.html5 for n in _NAMED.findall(text))
+    return CERTAIN.search(text) is not None or any(n in html.entities.html5 for n in _NAMED.findall(text)) or bool(sure_names(text))
 
 
 def unknown_tags(text: str) -> list[tuple[str, int, bool]]:
@@ -76,6 +80,8 @@ def unknown_tags(text: str) -> list[tuple[str, int, bool]]:
     nested: dict[str, bool] = {}
     for close, name, alone in _TAG.findall(FORMULA.sub(" ", text)):
         name = name.lower()
+        if name in _KNOWN:
+            continue
         step = 0 if alone else (-1 if close else 1)
         depth[name] = depth.get(name, 0) + step
         opened[name] = opened.get(name, 0) + (not close)
@@ -83,6 +89,14 @@ def unknown_tags(text: str) -> list[tuple[str, int, bool]]:
     return [(n, opened[n], nested[n] and not depth[n]) for n in opened]
 
 
+def sure_names(text: str) -> set[str]:
+    """Names of unknown tags that one record shows to be tags: with quoted attributes, or nesting with a hyphen or colon in the name."""
+    if "<" not in text:
+        return set()
+    names = {n.lower() for n in _ATTRIBUTED.findall(FORMULA.sub(" ", text))} - _KNOWN
+    return names | {n for n, opens, nests in unknown_tags(text) if opens and nests and ("-" in n or ":" in n)}
+
+
 _TOKENS = "array<struct<name:string,opens:int,nests:boolean>>"
 
 
@@ -95,7 +109,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text:
                 continue
             yes = certain(text)
-            tags = [] if yes else unknown_tags(text)
+            tags = unknown_tags(text)
             if yes or tags:
                 at.append(i)
                 sure.append(yes)
@@ -116,20 +130,29 @@ def host_of(url: str):
 LEAST_PAGES = 3
 
 
+#: Share of a host's records with a name beyond which its tags must nest; cut-off records do not void the others.
+NEST_SHARE = 0.5
+
+
+def _found(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What `_scan` found, and rec_id, sec_idx, sure, name of each unknown tag that belongs to a class of its host."""
+    scanned = records.where(F.col("rec_id").isNotNull()).select("rec_id", host_of("url").alias("host"), "texts").mapInArrow(_scan, f"rec_id long, sec_idx int, host string, sure boolean, doubts {_TOKENS}")
+    found = materialize(scanned.dropDuplicates(["rec_id", "sec_idx"]), "markup")
+    doubts = found.select("rec_id", "sec_idx", "host", "sure", F.explode("doubts").alias("d")).select("rec_id", "sec_idx", "host", "sure", "d.*")
+    # opening and closing tokens of a name have one occurrence vector exactly where the name nests
+    classes = doubts.groupBy("host", "name").agg(F.count("*").alias("n"), F.avg(F.col("nests").cast("int")).alias("nest_share"))
+    valid = classes.where((F.col("n") >= LEAST_PAGES) & (F.col("nest_share") > NEST_SHARE)).select("host", "name")
+    return found, salted_join(doubts, valid, ["host", "name"]).select("rec_id", "sec_idx", "sure", "name")
+
+
 def records_with_markup(records: DataFrame) -> DataFrame:
     """rec_id, sec_idx of each text with markup. `records` has rec_id, url and texts (array of strings).
 
     A record given in several rows counts once. Null ids, lists and texts have no markup; null urls share the host ''.
     Only what was found is shuffled, never the texts.
     """
-    scanned = records.where(F.col("rec_id").isNotNull()).select("rec_id", host_of("url").alias("host"), "texts").mapInArrow(_scan, f"rec_id long, sec_idx int, host string, sure boolean, doubts {_TOKENS}")
-    found = materialize(scanned.dropDuplicates(["rec_id", "sec_idx"]), "markup")
-    doubts = found.where(~F.col("sure")).select("rec_id", "sec_idx", "host", F.explode("doubts").alias("d")).select("rec_id", "sec_idx", "host", "d.*")
-    # opening and closing tokens of a name have one occurrence vector exactly where the name nests in every record
-    classes = doubts.groupBy("host", "name").agg(F.count("*").alias("n"), F.every("nests").alias("valid"))
-    valid = classes.where((F.col("n") >= LEAST_PAGES) & F.col("valid")).select("host", "name")
-    more = salted_join(doubts, valid, ["host", "name"]).select("rec_id", "sec_idx").distinct()
-    return found.where("sure").select("rec_id", "sec_idx").unionByName(more)
+    found, dealt = _found(records)
+    return found.where("sure").select("rec_id", "sec_idx").unionByName(dealt.where("not sure").select("rec_id", "sec_idx").distinct())
 
 
 # ---- clean text ----
@@ -208,10 +231,13 @@ _REWRITES: list[tuple[re.Pattern, object]] = [
 _PLACE = "\ue000{}\ue001"
 
 
-def clean_text(text: str | None) -> str | None:
+def clean_text(text: str | None, names: frozenset[str] = frozenset()) -> str | None:
     """A text without its markup, in the format of the parsed pages: # headings, • items, code indented by four spaces,
-    formulas in dollars. Null stays null; a text without markup is returned as it is."""
-    if not text or not certain(text):
+    formulas in dollars. Null stays null; a text without markup is returned as it is. `names` are unknown tags of its host."""
+    if not text:
+        return text
+    names = sure_names(text) | names.intersection(n for n, _, _ in unknown_tags(text)) if "<" in text else frozenset()
+    if not names and not certain(text):
         return text
     kept: list[str] = []
 
@@ -220,6 +246,8 @@ def clean_text(text: str | None) -> str | None:
         return _PLACE.format(len(kept) - 1)
 
     text = FORMULA.sub(keep, text)
+    if names:
+        text = _TAG.sub(lambda m: "" if m[2].lower() in names else m[0], text)
     for k, (form, to) in enumerate(_REWRITES):
         text = form.sub(to, text)
         if k == 9:  # formulas of LaTeX and HTML are formulas now
@@ -232,14 +260,32 @@ def clean_text(text: str | None) -> str | None:
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("texts")
-        cleaned = [None if x is None else [clean_text(t) for t in x] for x in texts.to_pylist()]
+        every = batch.column("names").to_pylist() if "names" in batch.schema.names else [None] * len(batch)
+        cleaned = [None if x is None else [clean_text(t, frozenset(n or ())) for t in x] for x, n in zip(batch.column("texts").to_pylist(), every, strict=True)]
         yield pa.record_batch([batch.column("rec_id"), pa.array(cleaned, pa.list_(pa.string()))], names=["rec_id", "texts"])
 
 
 def cleaned(records: DataFrame) -> DataFrame:
-    """rec_id and its texts without markup; one row for each row given, nothing is shuffled."""
-    return records.select("rec_id", "texts").mapInArrow(_clean, "rec_id long, texts array<string>")
+    """rec_id and its texts without markup; one row for each row given. `records` has rec_id, url and texts.
+
+    Only the texts of records with tags of their host's classes are shuffled, to meet the names of these.
+    """
+    shape = "rec_id long, texts array<string>"
+    named = materialize(_found(records)[1].groupBy("rec_id").agg(F.collect_set("name").alias("names")), "markup-names")
+    maybe = key_filter(named.select("rec_id"), "rec_id")
+
+    def split(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("rec_id")
+                among = maybe(np.asarray(ids.fill_null(0), dtype=np.int64)) & np.asarray(ids.is_valid())
+                yield batch.filter(pa.array(among == wanted))
+
+        return run
+
+    texts = records.select("rec_id", "texts")
+    alone = texts.mapInArrow(split(False), texts.schema).mapInArrow(_clean, shape)
+    return alone.unionByName(texts.mapInArrow(split(True), texts.schema).join(named, "rec_id", "left").mapInArrow(_clean, shape))
 
 
 # ---- whole pages of HTML ----

@@ -57,6 +57,16 @@ def test_records(spark):
     assert residue.records_with_markup(df.limit(0)).count() == 0 and residue.cleaned(df).count() == len(rows)
 
 
+def test_unknown_tags_by_their_share(spark):
+    rows = [(k, "https://h/p", ["<b>x</b> <zing> y </zing> z"]) for k in range(5)] + [(5, "https://h/p", ["x <zing> y </zing> z"]), (6, "https://h/p", ["x <zing> y"])]
+    rows += [(10, "https://o/p", ["a <my-box>b</my-box>"]), (11, "https://o/p", ['a <zang kind="k">b</zang>']), (12, "https://o/p", ["<msup><mi>x</mi><mn>2</mn></msup>"]), (None, "https://h/p", ["x <zing> y"]), (13, "https://o/p", ["n<m and m>k"])]
+    df = spark.createDataFrame(rows, "rec_id long, url string, texts array<string>")
+    assert {x.rec_id for x in residue.records_with_markup(df).collect()} == {*range(7), 10, 11, 12}
+    got = {x.rec_id: x.texts[0] for x in residue.cleaned(df).collect()}
+    assert got[0] == "x  y  z" and got[5] == "x  y  z" and got[6] == "x  y" and got[10] == "a b" and got[11] == "a b" and got[12] == "x2" and got[13] == "n<m and m>k"
+    assert len(got) == len(rows)
+
+
 def test_page_slots(spark):
     page = "<html><head><title>t</title></head><body><div id='top'>Site name</div><a href='/'>Home</a><span>Imprint</span><h1>T{0}</h1><p>Text {0} of its own.</p><ul><li>one {0}</li></ul><pre><code>run</code></pre></body></html>"
     rows = [(k, "https://h/x", page.format(k), "t") for k in range(8)] + [(0, "https://h/x", page.format(0), "t"), (20, "u", None, "t"), (21, None, "", "t"), (22, "https://h/y", "<p>cut off <b", "t")]
