@@ -46,8 +46,8 @@ CERTAIN = re.compile(
   | ``[^`'\n]+''
   | (?<![`\w])`[^`\n]+`(?!`) | ^```
   | \[[^\]\n]*\]\([^)\s]+(?:\s+"[^"\n]*")?\) | \[\^[\w-]+\] | ^\[[^\]\n]+\]:[ ]
-  | (?<![\w*(])\*{{1,3}}(?=[^\s*)(,.;])[^*\n]{{1,400}}?(?<=[^\s*(])\*{{1,3}}(?![\w*)])
-  | (?<![\w_])_{{1,3}}(?=[^\W_])[^\n_]{{1,400}}?(?<=[^\s_])_{{1,3}}(?![\w_])
+  | (?<![\w*(])\*{{1,3}}(?=[^\s*)(,.;])[^*\n]+?(?<=[^\s*(])\*{{1,3}}(?![\w*)])
+  | (?<![\w_])_{{1,3}}(?=[^\W_])[^\n_]+?(?<=[^\s_])_{{1,3}}(?![\w_])
   | ^[ ]{{0,3}}(?:={{1,6}}[^=\n]+={{1,6}}[ ]*$|={{3,}}[ ]*$|-{{3,}}[ ]*$|\*{{3,}}[ ]*$|>+[ ]?\S|\*+[ ]\S|\+[ ]\S|[-*+][ ]\[[ xX]\][ ]|;[ ]?\S[^\n]*:|:+[ ]?'')
   | ^\|.*\|[ ]*$ | ^\{{\||^\|[-}}] | ^\|[ ]\S+[ ]= | ^\#REDIRECT
   | (?<![\w:\\])(?:\\(?:[a-zA-Z]+\*?[\{{\[]|(?:begin|end|item|em|bf|it|par|noindent|maketitle|LaTeX|TeX)\b|[()\[\]%$&\#_{{}}\\])) | (?<=\}})\\[a-zA-Z]+\*?\{{ | (?<=\d)\\[%$&] | \{{\\[a-z]+\b
@@ -59,7 +59,7 @@ _TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(?:\s[^<>]*?)?(/?)>")
 _ATTRIBUTED = re.compile(r"""<([A-Za-z][\w:-]*)(?:\s+[\w:-]+\s*=\s*(?:"[^"<>]*"|'[^'<>]*'))+\s*/?>""")
 _KNOWN = frozenset(ELEMENTS)
 #: Without any of these there is no markup; a quick look before the slow one.
-_SIGNS = re.compile(r"[<`\\~>\[{*_|=+]|&[#A-Za-z]|''|^-{3}|^;|^:+ ?'|^#R", re.M)
+_SIGNS = re.compile(r"[<`\\~>\[{*_|=+]|&[#A-Za-z]|''|^ {0,3}-{3}|^ {0,3};|^ {0,3}:+ ?'|^#R", re.M)
 
 
 def certain(text: str) -> bool:
@@ -224,9 +224,9 @@ _REWRITES: list[tuple[re.Pattern, object]] = [
     (re.compile(r"^[ ]{0,3}[-*+] \[[ xX]\] ", re.M), "• "),
     (re.compile(r"^[ ]{0,3}[*+]+ (?=\S)", re.M), "• "),
     (re.compile(r"^>+ ?", re.M), "    "),
-    (re.compile(r"(?<![\w*(])(\*{1,3})(?=[^\s*)(,.;])([^*\n]{1,400}?)(?<=[^\s*(])\1(?![\w*)])"), r"\2"),
+    (re.compile(r"(?<![\w*(])(\*{1,3})(?=[^\s*)(,.;])([^*\n]+?)(?<=[^\s*(])\1(?![\w*)])"), r"\2"),
     (re.compile(r"__[A-Z]+__\n?"), ""),
-    (re.compile(r"(?<![\w_])(_{1,3})(?=[^\W_])([^\n_]{1,400}?)(?<=[^\s_])\1(?![\w_])"), r"\2"),
+    (re.compile(r"(?<![\w_])(_{1,3})(?=[^\W_])([^\n_]+?)(?<=[^\s_])\1(?![\w_])"), r"\2"),
 ]
 _PLACE = "\ue000{}\ue001"
 

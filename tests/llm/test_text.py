@@ -57,6 +57,17 @@ def test_records(spark):
     assert residue.records_with_markup(df.limit(0)).count() == 0 and residue.cleaned(df).count() == len(rows)
 
 
+@pytest.mark.parametrize("text", ["---", "  ---", ";term: def", "   ;term: def"])
+def test_quick_look_misses_no_form(text):
+    assert residue.certain("Some words before.\n" + text)
+
+
+@pytest.mark.parametrize("sign", ["*", "**", "_", "__"])
+def test_long_emphasis(sign):
+    long = "words that go on " * 60 + "and end"
+    assert residue.certain(sign + long + sign) and residue.clean_text(sign + long + sign) == long
+
+
 def test_unknown_tags_by_their_share(spark):
     rows = [(k, "https://h/p", ["<b>x</b> <zing> y </zing> z"]) for k in range(5)] + [(5, "https://h/p", ["x <zing> y </zing> z"]), (6, "https://h/p", ["x <zing> y"])]
     rows += [(10, "https://o/p", ["a <my-box>b</my-box>"]), (11, "https://o/p", ['a <zang kind="k">b</zang>']), (12, "https://o/p", ["<msup><mi>x</mi><mn>2</mn></msup>"]), (None, "https://h/p", ["x <zing> y"]), (13, "https://o/p", ["n<m and m>k"])]
