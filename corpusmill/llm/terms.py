@@ -1,7 +1,7 @@
 """Occurrences and pages of every word, kept up to date by signed deltas.
 
 A delivery is compared with the one before by fingerprints; only pages that were added, changed or deleted are counted,
-with a sign, and the sums are merged into persistent counts that are partitioned by word.
+with a sign, and the sums are merged into a table of counts that lasts as long as the driver; counts are kept for no later run.
 """
 
 from __future__ import annotations
