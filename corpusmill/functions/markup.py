@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -26,8 +27,6 @@ DROPPED_CLASSES = frozenset(
 )
 MAIN_CLASS, MAIN_LANG = "mw-content-ltr mw-parser-output", "en"
 MISSING_MATH = "< --- MISSING MATH --- >"
-#: Nesting beyond which an element's content is taken as if it stood in the element around it.
-DEEPEST = 400
 
 
 class Node:
@@ -66,24 +65,35 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.open = [self.root]
+        #: How many elements of each tag are open, so that tags that concern none of them cost nothing, however deep a page.
+        self.held: Counter = Counter()
+        self.deepest = 1
+
+    def _close(self, k: int) -> None:
+        self.held.subtract(node.tag for node in self.open[k:])
+        del self.open[k:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        ended = ENDS.get(tag, ())
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag in ended:
-                del self.open[k:]
-            elif self.open[k].tag in FENCES:
-                break
+        ended = ENDS.get(tag)
+        if ended and any(self.held[t] > 0 for t in ended):
+            for k in range(len(self.open) - 1, 0, -1):
+                if self.open[k].tag in ended:
+                    self._close(k)
+                elif self.open[k].tag in FENCES:
+                    break
         node = Node(tag, {k: v or "" for k, v in reversed(attrs)})
         self.open[-1].inside.append(node)
-        if tag not in VOID and len(self.open) < DEEPEST:
+        if tag not in VOID:
             self.open.append(node)
+            self.held[tag] += 1
+            self.deepest = max(self.deepest, len(self.open))
 
     def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                return
+        if self.held[tag] > 0:
+            k = len(self.open) - 1
+            while self.open[k].tag != tag:
+                k -= 1
+            self._close(k)
 
     def handle_data(self, data: str) -> None:
         last = self.open[-1].inside[-1] if self.open[-1].inside else None
@@ -97,10 +107,15 @@ class _Builder(HTMLParser):
 
 
 def tree(page: str) -> Node:
-    """The tree of a page; end tags that are missing are supplied, those that end nothing are passed over."""
+    """The tree of a page; end tags that are missing are supplied, those that end nothing are passed over.
+
+    Elements may nest as deep as they like; the limit of recursion is raised to what the page needs, for calls from Python
+    to Python take no room on the stack of C.
+    """
     builder = _Builder()
     builder.feed(page)
     builder.close()
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 6 * builder.deepest + 1000))
     return builder.root
 
 
@@ -191,7 +206,6 @@ def sections(page: str | None, strict: bool = False, drop_comments: bool = False
 
     Pages without the main part have none. A page without title has none either, or is an error where `strict`.
     """
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * DEEPEST))
     root = tree(page or "")
     title = root.first("h1", id="firstHeading")
     if title is None:

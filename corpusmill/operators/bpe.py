@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.session import materialize
+from corpusmill.session import materialize, salted_join
 
 #: Distinct words that are trained in one task.
 WORDS_IN_TASK = 3_000_000
@@ -268,9 +268,14 @@ def token_counts(frequencies: DataFrame, vocab: DataFrame) -> DataFrame:
     return each.select("freq", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("freq").alias("n"))
 
 
-def token_ids(tokens: DataFrame, vocab: DataFrame, unknown: int = -1) -> DataFrame:
-    """`tokens` (column tokens) with ids: the vocabulary's token_id of each, `unknown` for those it lacks."""
-    number = {r["token"]: r["token_id"] for r in vocab.select("token", "token_id").limit(MOST_TOKENS + 1).collect()}
+def token_ids(tokens: DataFrame, vocab: DataFrame, unknown: int = -1, most: int = MOST_TOKENS) -> DataFrame:
+    """`tokens` (column tokens) with ids: the vocabulary's token_id of each, `unknown` for those it lacks.
+
+    A vocabulary of up to `most` entries is sent to the tasks; a larger one is joined, with the same ids.
+    """
+    number = {r["token"]: r["token_id"] for r in vocab.select("token", "token_id").limit(most + 1).collect()}
+    if len(number) > most:
+        return _joined_ids(tokens, vocab, unknown)
     schema = T.StructType([*tokens.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,3 +284,13 @@ def token_ids(tokens: DataFrame, vocab: DataFrame, unknown: int = -1) -> DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*batch.schema.names, "ids"])
 
     return tokens.mapInArrow(run, schema)
+
+
+def _joined_ids(tokens: DataFrame, vocab: DataFrame, unknown: int) -> DataFrame:
+    """token_ids by a join: rows get a number of their own, their tokens meet the vocabulary and come back in order."""
+    rows = materialize(tokens.withColumn("_row", F.monotonically_increasing_id()), "numbered-tokens")
+    known = vocab.where("token is not null").select(F.col("token").alias("_token"), F.col("token_id").cast("int").alias("_id"))
+    each = rows.select("_row", F.posexplode("tokens").alias("_at", "_token"))
+    placed = salted_join(each, known, ["_token"], how="left").groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", F.coalesce("_id", F.lit(unknown)).alias("_id")))).alias("_ids"))
+    ids = F.when(F.col("tokens").isNotNull(), F.coalesce(F.col("_ids._id"), F.array().cast("array<int>")))
+    return rows.join(placed, "_row", "left").withColumn("ids", ids).drop("_row", "_ids")

@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.codepoints import chunks
 from corpusmill.schemas import DUPLICATE_MARK
 from corpusmill.session import materialize, salted_join
 
@@ -59,34 +58,68 @@ def murmur3(data: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         return (h ^ (h >> u(16))).view(np.int32)
 
 
-def minhash(texts: list[str | None], how: Banding) -> list[np.ndarray | None]:
-    """Signature of each text: the least signed hash of its n-grams for each seed; none for texts shorter than an n-gram."""
-    out: list[np.ndarray | None] = [None] * len(texts)
-    seeds = np.arange(how.signature_len, dtype=np.uint32)
-    n = how.gram_len
-    for begin, end in chunks(texts, 1 << 17):
-        ids: dict[str, int] = {}
-        held = []
-        for i in range(begin, end):
-            t = texts[i]
-            if t is not None and len(t) >= n:
-                grams = {t[k : k + n] for k in range(len(t) - n + 1)}
-                held.append((i, np.fromiter((ids.setdefault(g, len(ids)) for g in grams), np.int64, len(grams))))
-        coded = [g.encode() for g in ids]
+class Grams:
+    """Hashes of the n-grams met, a row of `signature_len` each; a worker hashes an n-gram once while it holds it.
+
+    When MOST n-grams are held (50 MB at 128 hashes) they are forgotten; this bounds memory and changes no hash.
+    """
+
+    MOST = 100_000
+
+    def __init__(self, how: Banding) -> None:
+        self.how, self.seeds = how, np.arange(how.signature_len, dtype=np.uint32)
+        self.ids: dict[str, int] = {}
+        self.table = np.empty((0, how.signature_len), dtype=np.int32)
+
+    def learn(self, grams: set[str]) -> None:
+        fresh = [g for g in grams if g not in self.ids]
+        if len(self.ids) + len(fresh) > self.MOST:
+            self.ids, fresh = {}, list(grams)
+        if not fresh:
+            return
+        first = len(self.ids)
+        if first + len(fresh) > len(self.table):
+            room = np.empty((max(2 * len(self.table), first + len(fresh)), self.how.signature_len), dtype=np.int32)
+            room[:first] = self.table[:first]
+            self.table = room
+        coded = [g.encode("utf-8", "surrogatepass") for g in fresh]
         sizes = np.array([len(c) for c in coded])
-        table = np.empty((len(coded), how.signature_len), dtype=np.int32)
         for size in np.unique(sizes):
-            at = np.flatnonzero(sizes == size)
-            table[at] = murmur3(np.frombuffer(b"".join(coded[k] for k in at), np.uint8).reshape(len(at), size), seeds)
-        for i, grams in held:
-            out[i] = table[grams].min(axis=0)
+            for at in np.array_split(np.flatnonzero(sizes == size), 1 + len(coded) // 8192):
+                self.table[first + at] = murmur3(np.frombuffer(b"".join([coded[k] for k in at]), np.uint8).reshape(len(at), size), self.seeds)
+        self.ids.update(zip(fresh, range(first, first + len(fresh))))
+
+    def least(self, text: str) -> np.ndarray:
+        """The least hash of the text's n-grams for each seed."""
+        n, size = self.how.gram_len, 1 << 14
+        out = np.full(self.how.signature_len, np.iinfo(np.int32).max, dtype=np.int32)
+        for begin in range(0, len(text) - n + 1, size):  # a long text has its n-grams hashed part by part
+            grams = {text[k : k + n] for k in range(begin, min(begin + size, len(text) - n + 1))}
+            self.learn(grams)
+            np.minimum(out, self.table[np.fromiter(map(self.ids.__getitem__, grams), np.int64, len(grams))].min(axis=0), out=out)
+        return out
+
+
+def minhash(texts: list[str | None], how: Banding, grams: Grams | None = None) -> list[np.ndarray | None]:
+    """Signature of each text: the least signed hash of its n-grams for each seed; none for texts shorter than an n-gram."""
+    grams = grams or Grams(how)
+    known: dict[str, np.ndarray] = {}  # texts that come again
+    out: list[np.ndarray | None] = []
+    for t in texts:
+        if t is None or len(t) < how.gram_len:
+            out.append(None)
+            continue
+        if t not in known:
+            known[t] = grams.least(t)
+        out.append(known[t])
     return out
 
 
 def _sign(how: Banding):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams(how)
         for batch in batches:
-            signed = minhash(batch.column("text").to_pylist(), how)
+            signed = minhash(batch.column("text").to_pylist(), how, grams)
             keep = [i for i, s in enumerate(signed) if s is not None]
             rows = batch.take(pa.array(keep, pa.int64()))
             flat = pa.array(np.concatenate([signed[i] for i in keep]) if keep else np.zeros(0, np.int32))

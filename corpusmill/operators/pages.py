@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.prefilter import key_filter
+from corpusmill.session import materialize
 
 
 def once_each(rows: DataFrame, key: str = "page_id") -> DataFrame:
@@ -19,7 +20,7 @@ def once_each(rows: DataFrame, key: str = "page_id") -> DataFrame:
     the same content, so any of them stands for it.
     """
     rows = rows.where(F.col(key).isNotNull())
-    again = rows.select(key).groupBy(key).count().where("count > 1")
+    again = materialize(rows.select(key).groupBy(key).count().where("count > 1").select(key), "keys-again")
     maybe = key_filter(again, key)
     place = rows.columns.index(key)
 

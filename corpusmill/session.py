@@ -70,16 +70,36 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def salted_join(many: DataFrame, one: DataFrame, on: list[str], salts: int = 16, how: str = "inner") -> DataFrame:
-    """Join where one key may hold a large part of `many` while `one` has each key once.
+#: A key is hot if it holds more than this share of the rows; so there are fewer than 1 / HOT_SHARE hot keys.
+HOT_SHARE = 1 / 64
 
-    Rows of `many` are dealt over `salts` partitions of their key, and each row of `one` is repeated `salts` times, so
-    that no task gets more than 1/`salts` of a hot key.
+
+def hot_keys(many: DataFrame, on: list[str]) -> DataFrame:
+    """The keys that hold more than HOT_SHARE of all rows: fewer than 1 / HOT_SHARE rows, so small enough to broadcast.
+
+    Only the keys are read; counts are partially aggregated.
+    """
+    counts = materialize(many.groupBy(*on).agg(F.count("*").alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.where(F.col("_n") > max(total * HOT_SHARE, 1)).select(*on)
+
+
+def salted_join(many: DataFrame, one: DataFrame, on: list[str], salts: int = 16, how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+    """Join where one key may hold a large part of `many`.
+
+    Hot keys are found first, from `counted` if it is given (a cheaper frame with the same keys), and they alone are
+    salted: their rows in `many` are dealt over `salts` partitions, and their rows in `one` are repeated `salts` times.
+    Rows with other keys, in `one` most of all, move once. Of `one` each key should have few rows.
     """
+    hot = hot_keys(many if counted is None else counted, on).withColumn("_hot", F.lit(True))
+    if not hot.head(1):
+        return many.join(one, on, how)
+    hot = F.broadcast(hot)  # fewer than 1 / HOT_SHARE rows
     rest = [c for c in many.columns if c not in on]
-    salt = F.pmod(F.xxhash64(*(many[c] for c in rest)) if rest else F.lit(0), F.lit(salts)).cast("int")
-    left = many.withColumn("_salt", salt)
-    right = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumn("_salt", F.col("_salt").cast("int"))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*(F.col(c) for c in rest)) if rest else F.lit(0), F.lit(salts)).cast("int")).otherwise(0)
+    left = many.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = one.join(hot, on, "left").withColumn("_salt", F.explode(every)).drop("_hot")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
