@@ -90,6 +90,10 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill(p8_packing(spark, d), table(spark, d, "containers"))
 
 
+def p8_checked(spark: SparkSession, d: str) -> DataFrame:
+    return packing.checked(p8_packing(spark, d), table(spark, d, "containers"))
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
@@ -107,7 +111,7 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [p1_found, p1_clean, p1_pages, p2_found, p2_counts, p3_found, p3_classes, p4_found, p4_quality, p5_found, p5_forms, p6_found, p6_copies, p7_found, p7_sentences, p8_packing, p8_fill, p9_mixture, p9_report, p10_found, p10_levels]
+    named = [p1_found, p1_clean, p1_pages, p2_found, p2_counts, p3_found, p3_classes, p4_found, p4_quality, p5_found, p5_forms, p6_found, p6_copies, p7_found, p7_sentences, p8_packing, p8_fill, p8_checked, p9_mixture, p9_report, p10_found, p10_levels]
     return {f.__name__: f for f in named}
 
 
@@ -180,5 +184,6 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": _NEAR,
         "p5_found": _looks_sql(),
         "p6_found": _COPIES + "select first_page_id, page_id from grouped where first_page_id <> page_id",
+        "p8_checked": "select container_name, doc_id, true as whole, true as fits from documents, containers where doc_id is not null and text <> '' and token_capacity > 0",
         "p6_copies": _COPIES + "select first_page_id as page_id, count(*) as n_copies from grouped group by first_page_id",
     }

@@ -52,6 +52,31 @@ def test_packed(spark):
     assert packing.packed(frame(spark, rows).limit(0), boxes).count() == 0
 
 
+def test_neighbours_on_the_curve_are_packed_together(spark, small):
+    """Fill stays high, and the articles of a container lie much nearer along the curve than by chance."""
+    import pandas as pd
+
+    folder = small.replace("sf0.001", "sf0.01")
+    documents, boxes = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "containers"))
+    packing_ = packing.packed(documents, boxes)
+    got = packing_.toPandas()
+    for r in packing.fill(packing_, boxes).collect():
+        one = got[got.container_name == r.container_name]
+        rank = one.curve.rank(method="first")
+        by = one.container_id
+        span = rank.groupby(by).agg(lambda x: x.max() - x.min()).mean()
+        chance = pd.Series(np.random.default_rng(0).permutation(rank.to_numpy()), index=one.index).groupby(by).agg(lambda x: x.max() - x.min()).mean()
+        assert r.fill_share > 0.95 and span < 0.35 * chance
+
+
+def test_windows_do_not_depend_on_batches():
+    sizes = np.random.default_rng(1).integers(1, 100, 1000)
+    one = packing.Packer(100)
+    box = np.concatenate([one.put(sizes[k : k + packing.WINDOW]) for k in range(0, 1000, packing.WINDOW)])
+    assert np.bincount(box, sizes).max() <= 100 and len(one.open) <= packing.OPEN
+    assert sizes.sum() > 0.95 * 100 * one.made
+
+
 def test_mixed(spark):
     rows = [(k, words(k, 30 + k % 20), "en", ["Big ", "BIG", "mid", "small", None, "unasked"][0 if k < 1500 else 2 if k < 1900 else 3 if k < 1990 else k % 2 + 4]) for k in range(2000)]
     asked = [("big", 0.5, 1), ("mid", 0.3, 2), ("small", 0.2, 8), ("none", 0.5, 3), (None, 0.1, 1), ("mid", None, 1)]
