@@ -1,15 +1,18 @@
 """How demanding each article is to read, on the bands that people gave to some articles.
 
-A Rasch-style latent model puts articles and items on one scale: an article's level and an item's difficulty meet where the
-item occurs, with a spread of the item's own. Items are the small-letter words of an article, pairs of neighbours with a
-short word, the first words of sentences, and the lengths and commas of sentences. Levels and difficulties are estimated in
-turn by least squares over all articles; labelled articles hold the scale in place, and the cuts between the bands are where
-they part the labels best.
+A Rasch-style latent model puts articles and items on one scale. Items are the small-letter words of a sentence, pairs of
+neighbours with a short word, its first word, its length and its commas. Whether an item occurs in a sentence is a logistic
+response to the article's level: the log-odds are a parabola in the level (an unfolding response), so an item can be most
+at home at any level, the item's difficulty. Levels and items are estimated in turn over all articles, on a grid of levels:
+given the items, each article has a posterior over the grid; given the posteriors, the occurrences of an item at each level
+are summed up, and its response is fitted to these sums. Labels hold the scale in place. The turns end when the levels
+hardly move. The cuts between the bands are where they part the labels best.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -24,18 +27,22 @@ from corpusmill.session import materialize
 
 # The bands in rising order, and their places on the scale.
 BANDS = {"basic": -1.0, "middle": 0.0, "advanced": 1.0}
-#: Places that items are hashed to; bounds what is summed up, sent to the driver and broadcast (1 MB), whatever the data.
+#: Places that items are hashed to; bounds what is summed up, sent to the driver and broadcast (7 MB), whatever the data.
 ITEMS = 1 << 17
-#: Turns of the estimation over all articles.
-TURNS = 2
-#: Occurrences of an item in an article that count; more of them say no more.
-MOST = 3
-#: Occurrences' worth of the mean level that an item's difficulty is drawn to.
-SHRINK = 5.0
-#: Weight of an article without label against one with it.
-UNLABELLED = 0.3
-#: Articles in which an item must occur; least variance; largest weight of an item.
-LEAST_ARTICLES, LEAST_SPREAD, MOST_WEIGHT = 3, 0.05, 20.0
+#: Levels at which posteriors and responses are kept.
+GRID = np.linspace(-1.8, 1.8, 13)
+#: Spread of levels, and of the level of an article that has a label about the label's band.
+SPREAD, LABEL_SPREAD = 0.9, 0.25
+#: Spread of the slope and the bend of an item's log-odds about 0, and of its height about that of its mean occurrence.
+ITEM_SPREAD = np.array([2.0, 2.0, 2.0])
+#: Weight of a sentence's items in an article's posterior; they are not independent of each other.
+TEMPER = 0.2
+#: Weight of all articles without a label against all with one; one of them never weighs more than one with a label.
+UNLABELLED = 3.0
+#: The turns end when levels move by less than this in the mean (bands are 1 apart); and this many are the most.
+TOLERANCE, MOST_TURNS = 0.01, 30
+#: Articles in which an item must occur.
+LEAST_ARTICLES = 3
 #: Cells of the histogram in which the cuts are sought.
 CELLS = 400
 _WORD = re.compile(r"[^\W\d_]+")
@@ -44,7 +51,7 @@ _HEADING_LINE = re.compile(r"^#[^\n]*$", re.M)
 
 
 class Items:
-    """Turns texts into item places; remembers the words met, up to a bound."""
+    """Turns texts into item places; remembers the places met, up to a bound."""
 
     def __init__(self) -> None:
         self.places: dict = {}
@@ -57,122 +64,151 @@ class Items:
                 self.places[key] = at
         return at
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        place, out = self.place, []
+    def of(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
+        """Number of sentences, and in how many of them each item occurs."""
+        place, out, n = self.place, Counter(), 0
         for sentence in _SENTENCE.split(_HEADING_LINE.sub("", text)):
             words = _WORD.findall(sentence)
             if not words:
                 continue
+            n += 1
             small = [w for w in words if w.islower()]
-            out += map(place, small)
-            out += [place(p) for p in zip(small, small[1:]) if len(p[0]) < 5 or len(p[1]) < 5]
-            length, commas = place(("length", min(12, len(words) // 4))), place(("commas", min(5, sentence.count(","))))
-            out += (length, length, commas, commas, place(("first", words[0].lower())))
-        places, counts = np.unique(np.array(out, dtype=np.int32), return_counts=True)
-        return places, np.minimum(counts, MOST).astype(np.int8)
+            here = set(map(place, small))
+            here.update([place(p) for p in zip(small, small[1:]) if len(p[0]) < 5 or len(p[1]) < 5])
+            here.add(place(("length", min(12, len(words) // 4))))
+            here.add(place(("commas", min(5, sentence.count(",")))))
+            here.add(place(("first", words[0].lower())))
+            out.update(here)
+        return n, np.fromiter(out.keys(), np.int32, len(out)), np.fromiter(out.values(), np.int32, len(out))
+
+
+_ARTICLE = "doc_id long, places array<int>, counts array<int>, n int, known boolean"
 
 
 def _extract(maybe_labelled):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items()
         for batch in batches:
-            ids, places, counts = [], [], []
+            ids, places, counts, sizes = [], [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if mainly_prose(text):
-                    p, c = items.of(text)
+                    n, p, c = items.of(text)
                     ids.append(doc)
+                    sizes.append(n)
                     places.append(p)
                     counts.append(c)
-            sizes = np.cumsum([0, *map(len, places)]).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(x) if x else np.zeros(0, t))) for x, t in ((places, np.int32), (counts, np.int8))]
+            starts = np.cumsum([0, *map(len, places)]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(x) if x else np.zeros(0, np.int32))) for x in (places, counts)]
             known = maybe_labelled(np.array(ids, dtype=np.int64))
-            yield pa.record_batch([pa.array(ids, pa.int64()), *lists, pa.array(known)], names=["doc_id", "places", "counts", "known"])
+            yield pa.record_batch([pa.array(ids, pa.int64()), *lists, pa.array(sizes, pa.int32()), pa.array(known)], names=["doc_id", "places", "counts", "n", "known"])
 
     return run
 
 
-class Scale:
-    """Difficulty and weight of each item, and the line that brings raw levels to the bands' scale."""
+class Responses:
+    """The log-odds of each item at each level of the grid, and for a sentence the log-chance of no item at each level."""
 
-    def __init__(self) -> None:
-        self.difficulty, self.weight = np.zeros(ITEMS, np.float32), np.zeros(ITEMS, np.float32)
-        self.slope, self.shift = 1.0, 0.0
+    def __init__(self, places: np.ndarray, odds: np.ndarray) -> None:
+        self.odds = np.zeros((ITEMS, len(GRID)), dtype=np.float32)
+        self.odds[places] = odds
+        self.none = -np.logaddexp(0, odds).sum(axis=0)
+
+    def likelihood(self, places: np.ndarray, counts: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Tempered log-likelihood of each article at each level."""
+        each = self.odds[places] * counts[:, None].astype(np.float32)
+        total = np.concatenate([np.zeros((1, len(GRID))), np.cumsum(each, axis=0, dtype=np.float64)])
+        return TEMPER * (total[starts[1:]] - total[starts[:-1]] + sizes[:, None] * self.none)
+
+
+_FREE = -0.5 * (GRID / SPREAD) ** 2
 
-    def levels(self, places: np.ndarray, counts: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-        weight = self.weight[places] * counts
-        total = np.bincount(rows, weight, minlength=n)
-        return np.bincount(rows, weight * self.difficulty[places], minlength=n) / np.maximum(total, 1e-9)
 
+def _shares(logs: np.ndarray) -> np.ndarray:
+    shares = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return shares / shares.sum(axis=1, keepdims=True)
 
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    lists = batch.column("places")
-    sizes = np.asarray(lists.value_lengths(), dtype=np.int64)
-    rows = np.repeat(np.arange(len(batch)), sizes)
-    return np.asarray(lists.flatten()), np.asarray(batch.column("counts").flatten()).astype(np.float32), rows, np.asarray(batch.column("level").fill_null(np.nan), dtype=np.float64)
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """doc_id, places, counts, starts, sizes, labels of a few articles at a time, so that memory is bounded."""
+    for whole in batches:
+        for begin in range(0, len(whole), 500):
+            batch = whole.slice(begin, 500)
+            lists = batch.column("places")
+            starts = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths(), dtype=np.int64))])
+            labels = np.asarray(batch.column("level").fill_null(np.nan), dtype=np.float64)
+            yield batch.column("doc_id"), np.asarray(lists.flatten()), np.asarray(batch.column("counts").flatten()), starts, np.asarray(batch.column("n"), dtype=np.float64), labels
 
-def _sums(scale: Scale, first: bool):
-    """One turn over a task's articles: for each item sums of weights, levels and squares; places below 0 hold the sums
-    of the line through labelled articles and of all levels."""
+
+#: Names of the sums over articles for each level of the grid.
+_AT = [f"y{k}" for k in range(len(GRID))]
+
+
+def _sums(given: Responses | None, before: Responses | None, weight: float):
+    """Occurrences of each item at each level, over a task's articles; place -1 holds the sentences at each level, place -2
+    how far levels have moved since the responses before, and the number of articles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((4, ITEMS))
-        line = np.zeros(7)
-        for whole in batches:
-            for begin in range(0, len(whole), 2000):
-                places, counts, rows, label = _flat(whole.slice(begin, 2000))
-                n = len(label)
-                labelled = ~np.isnan(label)
-                if first:
-                    level, worth = np.where(labelled, label, 0.0), labelled.astype(float)
-                else:
-                    raw = scale.levels(places, counts, rows, n)
-                    level = np.clip(raw * scale.slope + scale.shift, -1.3, 1.3)
-                    level = np.where(labelled, 0.5 * level + 0.5 * np.nan_to_num(label), level)
-                    worth = np.where(labelled, 1.0, UNLABELLED)
-                    x, y = raw[labelled], label[labelled]
-                    line[2:7] += len(x), x.sum(), y.sum(), (x * x).sum(), (x * y).sum()
-                line[:2] += (worth * level).sum(), worth.sum()
-                weight = counts * worth[rows]
-                held[0] += np.bincount(places, weight, minlength=ITEMS)
-                held[1] += np.bincount(places, weight * level[rows], minlength=ITEMS)
-                held[2] += np.bincount(places, weight * (level * level)[rows], minlength=ITEMS)
-                held[3] += np.bincount(places, (worth > 0)[rows], minlength=ITEMS)
-        used = np.flatnonzero(held[0])
-        at = np.concatenate([used, -1 - np.arange(7)])
-        extra = np.zeros((4, 7))
-        extra[0] = line
-        yield pa.record_batch([pa.array(at, pa.int32()), *(pa.array(np.concatenate([held[k][used], extra[k]])) for k in range(4))], names=["place", *"wsqn"])
+        held = np.zeros((ITEMS, len(GRID)))
+        articles = np.zeros(ITEMS)
+        line = np.zeros((2, len(GRID)))
+        for _, places, counts, starts, sizes, labels in _parts(batches):
+            labelled = ~np.isnan(labels)
+            prior = np.where(labelled[:, None], -0.5 * ((GRID - np.nan_to_num(labels)[:, None]) / LABEL_SPREAD) ** 2, _FREE)
+            worth = np.where(labelled, 1.0, weight)
+            likely = np.zeros(1) if given is None else given.likelihood(places, counts, starts, sizes)
+            if before is not None:
+                was = before.likelihood(places, counts, starts, sizes)
+                line[1, 0] += np.abs((_shares(_FREE + likely) - _shares(_FREE + was)) @ GRID).sum()
+                line[1, 1] += len(sizes)
+            shares = _shares(prior + likely) * worth[:, None]
+            line[0] += (shares * sizes[:, None]).sum(axis=0)
+            rows = np.repeat(np.arange(len(sizes)), np.diff(starts))
+            for k in range(len(GRID)):
+                held[:, k] += np.bincount(places, counts * shares[rows, k], minlength=ITEMS)
+            articles += np.bincount(places, minlength=ITEMS)
+        used = np.flatnonzero(articles)
+        table = np.concatenate([held[used], line])
+        yield pa.record_batch([pa.array(np.concatenate([used, [-1, -2]]), pa.int32()), pa.array(np.concatenate([articles[used], [0, 0]])), *(pa.array(table[:, k]) for k in range(len(GRID)))], names=["place", "n", *_AT])
 
     return run
 
 
-def _turn(articles: DataFrame, scale: Scale, first: bool) -> Scale:
-    summed = articles.mapInArrow(_sums(scale, first), "place int, w double, s double, q double, n double").groupBy("place").agg(*(F.sum(c).alias(c) for c in "wsqn"))
-    table = summed.toArrow()  # at most ITEMS + 7 rows
-    place = np.asarray(table["place"])
-    new, items, line = Scale(), place >= 0, np.zeros(7)
-    line[-1 - place[~items]] = np.asarray(table["w"])[~items]
-    w, s, q, n = (np.asarray(table[c])[items] for c in "wsqn")
-    mean = line[0] / max(line[1], 1e-9)
-    b = (s + SHRINK * mean) / (w + SHRINK)
-    spread = np.maximum(q - 2 * b * s + b * b * w, 0) / np.maximum(w, 1e-9)
-    new.difficulty[place[items]] = b
-    new.weight[place[items]] = np.where(n >= LEAST_ARTICLES, np.minimum(1 / (spread + LEAST_SPREAD), MOST_WEIGHT), 0)
-    count, x, y, xx, xy = line[2:]
-    if count * xx - x * x > 1e-9:
-        new.slope = (count * xy - x * y) / (count * xx - x * x)
-        new.shift = (y - new.slope * x) / count
-    return new
-
-
-def _score(scale: Scale):
+def fitted(occurrences: np.ndarray, sentences: np.ndarray) -> np.ndarray:
+    """Log-odds of each item (row) at each level, by Newton's method on the sums at each level."""
+    form = np.stack([np.ones(len(GRID)), GRID, GRID**2 - 0.5], axis=1)
+    rate = (occurrences.sum(axis=1) + 0.5) / (sentences.sum() + 1)
+    mean = np.zeros((len(occurrences), 3))
+    mean[:, 0] = np.log(rate / np.maximum(1 - rate, 1e-9))
+    beta, hold = mean.copy(), 1 / ITEM_SPREAD**2
+    for _ in range(8):
+        p = 1 / (1 + np.exp(-np.clip(beta @ form.T, -25, 8)))
+        slope = (occurrences - sentences * p) @ form - (beta - mean) * hold
+        bend = np.einsum("jk,kd,ke->jde", sentences * p * (1 - p), form, form) + np.diag(hold)
+        beta += np.clip(np.linalg.solve(bend, slope[:, :, None])[:, :, 0], -1, 1)
+    return beta @ form.T
+
+
+def _turn(articles: DataFrame, given: Responses | None, before: Responses | None, weight: float) -> tuple[Responses, float]:
+    """One turn: posteriors of all articles from the responses given, sums, and the responses fitted to them; and how far
+    levels have moved in the mean since the responses before. As many tasks as there are cores, twice over, hand on sums
+    of fixed size each."""
+    few = articles.coalesce(2 * articles.sparkSession.sparkContext.defaultParallelism)
+    shape = ", ".join(f"{c} double" for c in ["n", *_AT])
+    summed = few.mapInArrow(_sums(given, before, weight), f"place int, {shape}").groupBy("place").agg(*(F.sum(c).alias(c) for c in ["n", *_AT]))
+    table = summed.toArrow()  # at most ITEMS + 2 rows
+    place, n = np.asarray(table["place"]), np.asarray(table["n"])
+    y = np.stack([np.asarray(table[c]) for c in _AT], axis=1)
+    moved, counted = y[place == -2][0, :2]
+    often = (place >= 0) & (n >= LEAST_ARTICLES)
+    sentences = y[place == -1].sum(axis=0)
+    return Responses(place[often], fitted(y[often], sentences)), moved / counted if counted else np.inf
+
+
+def _score(given: Responses):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for begin in range(0, len(whole), 2000):
-                batch = whole.slice(begin, 2000)
-                places, counts, rows, _ = _flat(batch)
-                yield pa.record_batch([batch.column("doc_id"), pa.array(scale.levels(places, counts, rows, len(batch))), batch.column("level")], names=["doc_id", "theta", "level"])
+        for ids, places, counts, starts, sizes, labels in _parts(batches):
+            level = _shares(_FREE + given.likelihood(places, counts, starts, sizes)) @ GRID
+            yield pa.record_batch([ids, pa.array(level), pa.array(labels, from_pandas=True)], names=["doc_id", "theta", "level"])
 
     return run
 
@@ -186,12 +222,10 @@ def majority(labels: DataFrame) -> DataFrame:
     return best.where(F.size(F.filter("counts", lambda c: c == F.col("most"))) == 1).select("doc_id", "level")
 
 
-def _cuts(scored: DataFrame) -> tuple[float, float] | None:
-    """The two cuts that give most labelled articles their band, from a histogram of CELLS cells; none without labels."""
+def _cuts(scored: DataFrame) -> tuple[float, float]:
+    """The two cuts that give most labelled articles their band, from a histogram of CELLS cells."""
     known = scored.where("level is not null")
     low, high = known.agg(F.min("theta"), F.max("theta")).first()
-    if low is None:
-        return None
     width = max(high - low, 1e-9) / CELLS
     cell = F.least(F.floor((F.col("theta") - low) / width), F.lit(CELLS - 1)).cast("int")
     rows = known.groupBy(cell.alias("cell"), "level").count().collect()  # at most 3 * CELLS rows
@@ -206,28 +240,35 @@ def _cuts(scored: DataFrame) -> tuple[float, float] | None:
     return low + a * width, low + b * width
 
 
-def reading_levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def estimated(every: DataFrame, known: DataFrame, turns: int = MOST_TURNS) -> Responses:
+    """The items' responses: from the labelled articles first, then from all, turn by turn until levels hardly move."""
+    n_known, n = known.count(), every.count()
+    weight = min(1.0, UNLABELLED * n_known / max(1, n - n_known))
+    before, (given, _) = None, _turn(known, None, None, 0.0)
+    for _ in range(turns):
+        before, (given, moved) = given, _turn(every, given, before, weight)
+        if moved < TOLERANCE:
+            break
+    return given
+
+
+def reading_levels(documents: DataFrame, labels: DataFrame, turns: int = MOST_TURNS) -> DataFrame:
     """doc_id, theta, reading_band of each English document (lang `en` in any case) that is mainly natural prose.
 
     `documents` has doc_id (unique), text and lang; other columns are ignored; null and empty texts and null ids have no
     level. `labels` has doc_id and reading_band; several people may have labelled a document. Without any label of an
-    article that is prose the bands are null, for there is nothing that tells them. Each article is read once
+    article that is prose levels and bands are null, for there is nothing that tells them. Each article is read once
     into item counts; what is summed up for the items is of fixed size, and so is what the driver holds.
     """
     english = documents.where("doc_id is not null and text is not null and text <> '' and lower(trim(lang)) = 'en'").select("doc_id", "text")
     given = materialize(majority(labels), "labels")
-    read = english.mapInArrow(_extract(key_filter(given, "doc_id")), "doc_id long, places array<int>, counts array<tinyint>, known boolean")
-    read = materialize(read, "articles")
-    known = materialize(read.where("known").drop("known").join(given, "doc_id", "left"), "labelled-articles")
-    every = known.unionByName(read.where("not known").drop("known").withColumn("level", F.lit(None).cast("double")))
-    scale = _turn(known, Scale(), True)
-    for _ in range(TURNS):
-        scale = _turn(every, scale, False)
-    scored = materialize(every.mapInArrow(_score(scale), "doc_id long, theta double, level double"), "levels")
-    cuts = _cuts(scored)
-    if cuts is None:
-        return scored.select("doc_id", "theta", F.lit(None).cast("string").alias("reading_band"))
-    (first, second), (low, middle, high) = cuts, BANDS
+    read = materialize(english.mapInArrow(_extract(key_filter(given, "doc_id")), _ARTICLE), "articles")
+    near = materialize(read.where("known").drop("known").join(given, "doc_id", "left"), "perhaps-labelled-articles")
+    known = near.where("level is not null")
+    every = near.unionByName(read.where("not known").drop("known").withColumn("level", F.lit(None).cast("double")))
+    if not known.head(1):
+        return every.select("doc_id", F.lit(None).cast("double").alias("theta"), F.lit(None).cast("string").alias("reading_band"))
+    scored = materialize(every.mapInArrow(_score(estimated(every, known, turns)), "doc_id long, theta double, level double"), "levels")
+    (first, second), (low, middle, high) = _cuts(scored), BANDS
     band = F.when(F.col("theta") < first, low).when(F.col("theta") < second, middle).otherwise(high)
     return scored.select("doc_id", "theta", band.alias("reading_band"))
-
