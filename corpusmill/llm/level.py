@@ -5,14 +5,13 @@ neighbours with a short word, its first word, its length and its commas. Whether
 response to the article's level: the log-odds are a parabola in the level (an unfolding response), so an item can be most
 at home at any level, the item's difficulty. Levels and items are estimated in turn over all articles, on a grid of levels:
 given the items, each article has a posterior over the grid; given the posteriors, the occurrences of an item at each level
-are summed up, and its response is fitted to these sums. Labels hold the scale in place. The turns end when the levels
+are summed up, and its response is fitted to these sums. Labels hold the scale in place. The turns end when they
 hardly move. The cuts between the bands are where they part the labels best.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -39,7 +38,8 @@ ITEM_SPREAD = np.array([2.0, 2.0, 2.0])
 TEMPER = 0.2
 #: Weight of all articles without a label against all with one; one of them never weighs more than one with a label.
 UNLABELLED = 3.0
-#: The turns end when levels move by less than this in the mean (bands are 1 apart); and this many are the most.
+#: The turns end when the level at which an item occurs, in the mean over all occurrences, moves by less than this (bands
+#: are 1 apart); and this many are the most.
 TOLERANCE, MOST_TURNS = 0.01, 30
 #: Articles in which an item must occur.
 LEAST_ARTICLES = 3
@@ -50,36 +50,39 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n\n+")
 _HEADING_LINE = re.compile(r"^#[^\n]*$", re.M)
 
 
+class Places(dict):
+    """The place of each item; remembers those met, up to a bound."""
+
+    def __missing__(self, key) -> int:
+        at = crc32(repr(key).encode()) % ITEMS
+        if len(self) < 400_000:
+            self[key] = at
+        return at
+
+
 class Items:
-    """Turns texts into item places; remembers the places met, up to a bound."""
+    """Turns texts into item places."""
 
     def __init__(self) -> None:
-        self.places: dict = {}
-
-    def place(self, key) -> int:
-        at = self.places.get(key)
-        if at is None:
-            at = crc32(repr(key).encode()) % ITEMS
-            if len(self.places) < 400_000:
-                self.places[key] = at
-        return at
+        self.place = Places().__getitem__
 
     def of(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
         """Number of sentences, and in how many of them each item occurs."""
-        place, out, n = self.place, Counter(), 0
+        place, out, n = self.place, [], 0
         for sentence in _SENTENCE.split(_HEADING_LINE.sub("", text)):
             words = _WORD.findall(sentence)
             if not words:
                 continue
             n += 1
             small = [w for w in words if w.islower()]
-            here = set(map(place, small))
-            here.update([place(p) for p in zip(small, small[1:]) if len(p[0]) < 5 or len(p[1]) < 5])
-            here.add(place(("length", min(12, len(words) // 4))))
-            here.add(place(("commas", min(5, sentence.count(",")))))
-            here.add(place(("first", words[0].lower())))
-            out.update(here)
-        return n, np.fromiter(out.keys(), np.int32, len(out)), np.fromiter(out.values(), np.int32, len(out))
+            here = set(small)
+            here.update([p for p in zip(small, small[1:]) if len(p[0]) < 5 or len(p[1]) < 5])
+            here.add(("length", min(12, len(words) // 4)))
+            here.add(("commas", min(5, sentence.count(","))))
+            here.add(("first", words[0].lower()))
+            out += set(map(place, here))
+        places, counts = np.unique(np.array(out, dtype=np.int32), return_counts=True)
+        return n, places, counts.astype(np.int32)
 
 
 _ARTICLE = "doc_id long, places array<int>, counts array<int>, n int, known boolean"
@@ -115,9 +118,9 @@ class Responses:
 
     def likelihood(self, places: np.ndarray, counts: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Tempered log-likelihood of each article at each level."""
-        each = self.odds[places] * counts[:, None].astype(np.float32)
-        total = np.concatenate([np.zeros((1, len(GRID))), np.cumsum(each, axis=0, dtype=np.float64)])
-        return TEMPER * (total[starts[1:]] - total[starts[:-1]] + sizes[:, None] * self.none)
+        counts, ends = counts.astype(np.float32), starts.tolist()
+        total = [counts[a:b] @ self.odds[places[a:b]] for a, b in zip(ends, ends[1:])]
+        return TEMPER * (np.array(total, dtype=np.float64).reshape(-1, len(GRID)) + sizes[:, None] * self.none)
 
 
 _FREE = -0.5 * (GRID / SPREAD) ** 2
@@ -143,32 +146,28 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 _AT = [f"y{k}" for k in range(len(GRID))]
 
 
-def _sums(given: Responses | None, before: Responses | None, weight: float):
-    """Occurrences of each item at each level, over a task's articles; place -1 holds the sentences at each level, place -2
-    how far levels have moved since the responses before, and the number of articles."""
+def _sums(given: Responses | None, weight: float):
+    """Occurrences of each item at each level, over a task's articles; place -1 holds the sentences at each level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((ITEMS, len(GRID)))
         articles = np.zeros(ITEMS)
-        line = np.zeros((2, len(GRID)))
+        line = np.zeros((1, len(GRID)))
         for _, places, counts, starts, sizes, labels in _parts(batches):
             labelled = ~np.isnan(labels)
             prior = np.where(labelled[:, None], -0.5 * ((GRID - np.nan_to_num(labels)[:, None]) / LABEL_SPREAD) ** 2, _FREE)
             worth = np.where(labelled, 1.0, weight)
             likely = np.zeros(1) if given is None else given.likelihood(places, counts, starts, sizes)
-            if before is not None:
-                was = before.likelihood(places, counts, starts, sizes)
-                line[1, 0] += np.abs((_shares(_FREE + likely) - _shares(_FREE + was)) @ GRID).sum()
-                line[1, 1] += len(sizes)
             shares = _shares(prior + likely) * worth[:, None]
             line[0] += (shares * sizes[:, None]).sum(axis=0)
-            rows = np.repeat(np.arange(len(sizes)), np.diff(starts))
-            for k in range(len(GRID)):
-                held[:, k] += np.bincount(places, counts * shares[rows, k], minlength=ITEMS)
+            ends = starts.tolist()
+            for i, (a, b) in enumerate(zip(ends, ends[1:])):
+                if worth[i]:
+                    held[places[a:b]] += counts[a:b, None] * shares[i]  # an article has an item once
             articles += np.bincount(places, minlength=ITEMS)
         used = np.flatnonzero(articles)
-        table = np.concatenate([held[used], line])
-        yield pa.record_batch([pa.array(np.concatenate([used, [-1, -2]]), pa.int32()), pa.array(np.concatenate([articles[used], [0, 0]])), *(pa.array(table[:, k]) for k in range(len(GRID)))], names=["place", "n", *_AT])
+        table = np.concatenate([held[used], line]).astype(np.float32).astype(np.float64)  # shorter when compressed
+        yield pa.record_batch([pa.array(np.concatenate([used, [-1]]), pa.int32()), pa.array(np.concatenate([articles[used], [0]])), *(pa.array(table[:, k]) for k in range(len(GRID)))], names=["place", "n", *_AT])
 
     return run
 
@@ -188,20 +187,21 @@ def fitted(occurrences: np.ndarray, sentences: np.ndarray) -> np.ndarray:
     return beta @ form.T
 
 
-def _turn(articles: DataFrame, given: Responses | None, before: Responses | None, weight: float) -> tuple[Responses, float]:
-    """One turn: posteriors of all articles from the responses given, sums, and the responses fitted to them; and how far
-    levels have moved in the mean since the responses before. As many tasks as there are cores, twice over, hand on sums
-    of fixed size each."""
-    few = articles.coalesce(2 * articles.sparkSession.sparkContext.defaultParallelism)
+def _turn(articles: DataFrame, given: Responses | None, weight: float) -> tuple[Responses, np.ndarray]:
+    """One turn: posteriors of all articles from the responses given, sums, and the responses fitted to them; and for each
+    place the occurrences of its item and the mean level of these. As many tasks as there are cores hand on sums of fixed
+    size each."""
+    few = articles.coalesce(articles.sparkSession.sparkContext.defaultParallelism)
     shape = ", ".join(f"{c} double" for c in ["n", *_AT])
-    summed = few.mapInArrow(_sums(given, before, weight), f"place int, {shape}").groupBy("place").agg(*(F.sum(c).alias(c) for c in ["n", *_AT]))
-    table = summed.toArrow()  # at most ITEMS + 2 rows
+    summed = few.mapInArrow(_sums(given, weight), f"place int, {shape}").groupBy("place").agg(*(F.sum(c).alias(c) for c in ["n", *_AT]))
+    table = summed.toArrow()  # at most ITEMS + 1 rows
     place, n = np.asarray(table["place"]), np.asarray(table["n"])
     y = np.stack([np.asarray(table[c]) for c in _AT], axis=1)
-    moved, counted = y[place == -2][0, :2]
     often = (place >= 0) & (n >= LEAST_ARTICLES)
-    sentences = y[place == -1].sum(axis=0)
-    return Responses(place[often], fitted(y[often], sentences)), moved / counted if counted else np.inf
+    homes = np.zeros((2, ITEMS))
+    homes[0, place[often]] = y[often].sum(axis=1)
+    homes[1, place[often]] = y[often] @ GRID / np.maximum(homes[0, place[often]], 1e-9)
+    return Responses(place[often], fitted(y[often], y[place == -1].sum(axis=0))), homes
 
 
 def _score(given: Responses):
@@ -241,14 +241,15 @@ def _cuts(scored: DataFrame) -> tuple[float, float]:
 
 
 def estimated(every: DataFrame, known: DataFrame, turns: int = MOST_TURNS) -> Responses:
-    """The items' responses: from the labelled articles first, then from all, turn by turn until levels hardly move."""
+    """The items' responses: from the labelled articles first, then from all, turn by turn until they hardly move."""
     n_known, n = known.count(), every.count()
     weight = min(1.0, UNLABELLED * n_known / max(1, n - n_known))
-    before, (given, _) = None, _turn(known, None, None, 0.0)
+    given, before = _turn(known, None, 0.0)
     for _ in range(turns):
-        before, (given, moved) = given, _turn(every, given, before, weight)
-        if moved < TOLERANCE:
+        given, homes = _turn(every, given, weight)
+        if (homes[0] * np.abs(homes[1] - before[1])).sum() < TOLERANCE * homes[0].sum():
             break
+        before = homes
     return given
 
 

@@ -1,7 +1,9 @@
 """Statistics of each section's text, and which sections lie in the tails of their language's distributions.
 
 Each statistic is gathered per language into mergeable quantile sketches (KLL); a value becomes a percentile and a robust
-z-score, its distance from the median in units of the interquartile range, and far tails on the side of junk are flagged.
+z-score, its distance from the median in units of the spread on the side that junk does not widen. Shares are taken as
+log-odds, drawn to their mean where a text is short, so that their distributions are spread out. The z-scores on the side
+of junk are gathered into a sketch once more, and the tail that is flagged begins where that distribution is emptiest.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ _WORDS = {w: lang for lang in reversed(COMMON_WORDS) for w in COMMON_WORDS[lang]
 _EVERY = {lang: frozenset(text.split()) for lang, text in COMMON_WORDS.items()}
 _ANY = frozenset(_WORDS)
 _ENTRY = re.compile(r"[ \t]*(?:[-–—•*·▪◦+|›»]|\d{1,4} ?[–—:]|\(?\d{1,4}[.)](?=\s)|\(?[A-Za-z]\)(?=\s)|\(?[a-z][.)](?=\s)|\(?[ivx]{1,5}[.)](?=\s))|[\w ]{1,24}:\s(?=.{0,60}(?<![.!?])\Z)")
+#: A row of a table: values between commas, tabs, bars or semicolons that no blank follows; or between wide gaps.
+_ROW = re.compile(r"(?=[^\s,;|]*[,;|\t][^\s,;|])(?:[^,;|\t]*[,;|\t](?=[^\s])){3,}|[^\s,;|]+(?:[,;|\t][^\s,;|]+){2,}\Z")
+_GAP = re.compile(r"[^\s.!?][ \t]{3,}(?=\S)")
 _END = re.compile(r"[.!?。！？।؟…][\"'”’»」』)\]]*(?:\[\d+\])*\s*$")
 _INNER = re.compile(r"[.!?؟।][\"'”’»)\]]*(?:\[\d+\])*\s|[。！？]")
 _STRIP = "\"'“”‘’„«»()[]{},.;:!?-–—…"
@@ -42,12 +47,17 @@ _HEADING = re.compile(r"\A#{1,6} [^\n]*(?:\n|\Z)")
 
 #: Statistics, and on which side of their distribution junk lies.
 SIDES = {"prose_share": -1, "common_share": 0, "symbol_share": 1, "digit_share": 1, "entry_share": 1, "repeat_share": 1, "mean_word_length": 0, "end_share": 0, "n_words": 0, "n_lines": 0, "n_chars": 0}
-#: Least spread of a statistic that counts as one robust standard deviation, where most values are the same.
-FLOORS = {"prose_share": 0.08, "common_share": 0.05, "symbol_share": 0.05, "digit_share": 0.05, "entry_share": 0.1, "repeat_share": 0.08}
+#: Shares that are taken as log-odds, what they are shares of, and by how much of it they are drawn to their mean.
+SHARES = {"prose_share": ("n_chars", 20.0), "symbol_share": ("n_chars", 20.0), "digit_share": ("n_chars", 20.0), "entry_share": ("n_chars", 20.0), "repeat_share": ("n_words", 5.0)}
+#: Least spread of log-odds that counts as one robust standard deviation, for tables whose texts are all alike.
+LEAST_SPREAD = 0.3
 #: Sections at which a language's own distribution weighs as much as that of all languages.
 LEAST_SECTIONS = 100
-#: Robust z-score beyond which a tail is junk.
-FAR = 6.0
+#: Where the tail is taken to begin before any data are seen; it weighs as much as LEAST_SECTIONS sections.
+FAR = 7.5
+#: Size of the sketch of z-scores (its ranks are exact to about 0.1 %), the steps in which it is read, and the share of
+#: sections beyond which a gap is sought no more: what lies behind it would be single texts.
+TAIL_SKETCH, TAIL_STEPS, TAIL_END = 4096, 1000, 0.995
 
 
 @cache
@@ -80,7 +90,7 @@ def _paragraphs(body: str) -> Iterator[tuple[str, bool]]:
     """Lines that run on, put together; an entry of a list stands alone and is told."""
     held: list[str] = []
     for line in body.split("\n"):
-        entry = _ENTRY.match(line) is not None
+        entry = _ENTRY.match(line) is not None or _ROW.match(line) is not None or len(_GAP.findall(line)) > 1
         if held and (entry or not line.strip()):
             yield "\n".join(held), False
             held = []
@@ -183,20 +193,52 @@ def section_statistics(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(_measure, f"page_id long, sec_idx int, lang string, {figures}").dropDuplicates(["page_id", "sec_idx"])
 
 
+def _value(c: str) -> str:
+    """The column that holds a statistic as it is compared: a share's log-odds, other statistics as they are."""
+    return f"{c}_value" if c in SHARES else c
+
+
+def _log_odds(measured: DataFrame) -> DataFrame:
+    """`measured` with the log-odds of each share, drawn to the share's mean over all sections (one row to the driver)."""
+    kept = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(c)))
+    means = measured.agg(*(F.avg(kept(c)).alias(c) for c in SHARES)).first()
+
+    def odds(c: str):
+        of, drawn = SHARES[c]
+        mean = min(max(means[c] if means[c] is not None else 0.5, 1e-3), 1 - 1e-3)
+        size = F.greatest(F.col(of), F.lit(3 * drawn))  # the shortest texts, and empty ones, are judged like short ones
+        return F.log((kept(c) * size + drawn * mean) / ((1 - kept(c)) * size + drawn * (1 - mean)))
+
+    return measured.withColumns({_value(c): odds(c) for c in SHARES})
+
+
 def _percentile(c: str):
     """How many percent of the language's values are smaller, in steps of 2."""
-    return 2.0 * F.size(F.filter(f"{c}_of.steps", lambda q: q < F.col(c))).cast("double")
+    return 2.0 * F.size(F.filter(f"{c}_of.steps", lambda q: q < F.col(_value(c)))).cast("double")
+
+
+def tail_begin(steps: list[float], n: int) -> float:
+    """Where a distribution, given by its quantiles in rising order, is emptiest above its median; drawn to FAR as if
+    LEAST_SECTIONS sections had said so, whatever `n` is."""
+    if not n:
+        return FAR
+    q = np.array(steps)
+    first, last = len(q) // 2, max(len(q) // 2 + 1, int(TAIL_END * (len(q) - 1)))
+    at = first + int(np.argmax(np.diff(q[first : last + 1])))
+    return float(FAR + ((q[at] + q[at + 1]) / 2 - FAR) * n / (n + LEAST_SECTIONS))
 
 
 def scored(measured: DataFrame) -> DataFrame:
-    """`measured` with, for each statistic x, x_percentile and x_z, and `junk`: a tail on the side of junk beyond FAR.
+    """`measured` with, for each statistic x, x_percentile and x_z; `tail`, the z-scores on the side of junk put
+    together (the logarithm of their summed exponentials: about the largest, more where several are large); and `junk`: whether it lies behind the emptiest place of the distribution of `tail` over all sections.
 
     The spread is taken on the other side of the median, which junk does not widen. A language's quantiles are drawn
     towards those of all languages together, with its n sections weighing n and these LEAST_SECTIONS, whatever n is;
     sections whose language is not known are held against all. The sketches are one row for each language that
     `language` knows, so their broadcast is bounded; they are partially aggregated, whatever a language's share of the rows.
     """
-    sketches = measured.groupBy("lang").agg(*(F.kll_sketch_agg_double(c).alias(c) for c in SIDES))
+    measured = _log_odds(measured)
+    sketches = measured.groupBy("lang").agg(*(F.kll_sketch_agg_double(_value(c)).alias(c) for c in SIDES))
     every = sketches.agg(*(F.kll_merge_agg_double(c).alias(c) for c in SIDES)).where(F.kll_sketch_get_n_double("n_words") > 0)
 
     def quantiles(c: str):
@@ -207,7 +249,7 @@ def scored(measured: DataFrame) -> DataFrame:
         drawn = F.zip_with(c, f"{c}_all", lambda own, of_all: of_all + (own - of_all) * F.col("weight"))
         low, middle, high = (F.element_at(drawn, k) for k in (52, 53, 54))
         spread = (high - low) / 1.349 if not side else ((high - middle) if side < 0 else (middle - low)) / 0.6745
-        return F.struct(F.slice(drawn, 1, 51).alias("steps"), middle.alias("middle"), F.greatest(spread, F.lit(FLOORS.get(c, 1e-9))).alias("spread")).alias(f"{c}_of")
+        return F.struct(F.slice(drawn, 1, 51).alias("steps"), middle.alias("middle"), F.greatest(spread, F.lit(LEAST_SPREAD if c in SHARES else 1e-9)).alias("spread")).alias(f"{c}_of")
 
     n = F.kll_sketch_get_n_double("n_words")
     weight = F.when(F.col("lang") == "und", 0.0).otherwise(n / (n + LEAST_SECTIONS)).alias("weight")
@@ -215,9 +257,13 @@ def scored(measured: DataFrame) -> DataFrame:
     known = materialize(drawn.select("lang", *(centre(c, side) for c, side in SIDES.items())), "quality-sketches")
     both = measured.join(F.broadcast(known), "lang")
     percentiles = {f"{c}_percentile": _percentile(c) for c in SIDES}
-    both = both.withColumns(percentiles | {f"{c}_z": (F.col(c) - F.col(f"{c}_of.middle")) / F.col(f"{c}_of.spread") for c in SIDES})
-    tails = F.greatest(*(F.col(f"{c}_z") * side for c, side in SIDES.items() if side))
-    return both.drop(*(f"{c}_of" for c in SIDES)).withColumn("junk", tails > FAR)
+    both = both.withColumns(percentiles | {f"{c}_z": (F.col(_value(c)) - F.col(f"{c}_of.middle")) / F.col(f"{c}_of.spread") for c in SIDES})
+    weights = [F.exp(F.greatest(F.lit(0.0), F.least(F.lit(50.0), F.col(f"{c}_z") * side))) for c, side in SIDES.items() if side]
+    both = both.withColumn("tail", F.log(sum(weights, F.lit(1.0))))
+    tails = both.agg(F.kll_sketch_agg_double("tail", TAIL_SKETCH).alias("tail"), F.count("tail").alias("n")).where("n > 0")
+    read = tails.select("n", F.kll_sketch_get_quantile_double("tail", F.array(*(F.lit(k / TAIL_STEPS) for k in range(TAIL_STEPS + 1)))).alias("q")).first()
+    begin = tail_begin(read["q"], read["n"]) if read else FAR
+    return both.drop(*(f"{c}_of" for c in SIDES), *map(_value, SHARES)).withColumn("junk", F.col("tail") > begin)
 
 
 def quality(pages: DataFrame) -> DataFrame:
