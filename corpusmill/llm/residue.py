@@ -1,17 +1,16 @@
 """Markup in text: which records hold any, and clean text that keeps headings, lists, code and formulas.
 
-A record is read into markup tokens. Tokens whose form leaves no doubt count at once; of the others (tags whose names are
-no known elements) those count that belong to a template: tokens of one host with the same occurrence vector over its
-pages form an equivalence class, and a class is valid if opening and closing tokens nest. Whole pages of HTML are brought
-to text by the same deduction: the valid classes of a host nest into its template, and what lies in its slots is text.
+A record is read into markup tokens; the form of a token gives its type and no more. Tokens of one host whose occurrence
+vectors over its records agree, an opening and its closing one, form an equivalence class; a class is valid if its tokens
+nest. The valid classes of a host are its template: a record has markup if it holds tokens of a valid class, and what lies
+in their slots is its text. Whole pages of HTML are brought to text by the same deduction over all tags and texts.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -33,50 +32,75 @@ track tt u ul var video wbr annotation mrow ref references nowiki gallery includ
 syntaxhighlight timeline ce chem score hiero templatestyles mi mo mn ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom
 msup msub msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd menclose mfenced maction semantics""".split()
 _NAMES = "|".join(sorted(ELEMENTS, key=len, reverse=True))
+# Elements without an end tag, and elements whose end tag can be left out.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+UNENDED = VOID | frozenset("body colgroup dd dt head html li optgroup option p rp rt tbody td tfoot th thead tr references templatestyles".split())
 
+# Names between two low lines that are no emphasis but identifiers of a programming language.
+_SPECIAL = r"__(?:init|name|main|file|dict|str|repr|call|len|iter|next|enter|exit|getitem|setitem|new|del|all|doc|eq|hash|class)__"
 #: Formulas of the parser's own format; their insides are no markup.
 FORMULA = re.compile(r"(?<![\\$])(\$\$?)(?=[^\s$])[^$\n]*?[^\s$\\]\1(?!\$)")
-#: Forms that are markup wherever they stand.
-CERTAIN = re.compile(
+#: Types of tokens by their form. Every part is bounded by characters that it cannot hold, so that reading is linear.
+FORMS = re.compile(
     rf"""
-    <!--|<!DOCTYPE|</?(?:{_NAMES})(?:\s[^<>]*|\s*/)?(?:>|\Z) | <(?:https?|ftp|mailto):[^\s<>]+>
-  | &(?:\#\d{{1,7}}|\#[xX][0-9a-fA-F]{{1,6}});
-  | \[\[[^\[\]] | \{{\{{[^{{}}\s] | \[(?:https?:)?//[^\s\]]+ | ~~~~? | ~~(?=\S)
-  | (?<![\w'])''+(?=[^\s'])[^\n]*?[^\s']''
-  | ``[^`'\n]+''
-  | (?<![`\w])`[^`\n]+`(?!`) | ^```
-  | \[[^\]\n]*\]\([^)\s]+(?:\s+"[^"\n]*")?\) | \[\^[\w-]+\] | ^\[[^\]\n]+\]:[ ]
-  | (?<![\w*(])\*{{1,3}}(?=[^\s*)(,.;])[^*\n]+?(?<=[^\s*(])\*{{1,3}}(?![\w*)])
-  | (?<![\w_])_{{1,3}}(?=[^\W_])[^\n_]+?(?<=[^\s_])_{{1,3}}(?![\w_])
-  | ^[ ]{{0,3}}(?:={{1,6}}[^=\n]+={{1,6}}[ ]*$|={{3,}}[ ]*$|-{{3,}}[ ]*$|\*{{3,}}[ ]*$|>+[ ]?\S|\*+[ ]\S|\+[ ]\S|[-*+][ ]\[[ xX]\][ ]|;[ ]?\S[^\n]*:|:+[ ]?'')
-  | ^\|.*\|[ ]*$ | ^\{{\||^\|[-}}] | ^\|[ ]\S+[ ]= | ^\#REDIRECT
-  | (?<![\w:\\])(?:\\(?:[a-zA-Z]+\*?[\{{\[]|(?:begin|end|item|em|bf|it|par|noindent|maketitle|LaTeX|TeX)\b|[()\[\]%$&\#_{{}}\\])) | (?<=\}})\\[a-zA-Z]+\*?\{{ | (?<=\d)\\[%$&] | \{{\\[a-z]+\b
+    (?P<comment><!--) | (?P<doctype><!DOCTYPE) | (?P<tag></?(?:{_NAMES})(?:\s[^<>]*|\s*/)?(?:>|\Z)) | (?P<address><(?:https?|ftp|mailto):[^\s<>]+>)
+  | (?P<point>&(?:\#\d{{1,7}}|\#[xX][0-9a-fA-F]{{1,6}});)
+  | (?P<link>\[\[[^\[\]]) | (?P<template>\{{\{{[^{{}}\s]) | (?P<web>\[(?:https?:)?//[^\s\]]+) | (?P<tilde>~~~~? | ~~(?=\S))
+  | (?P<texquote>``[^`'\n]+'')
+  | (?P<code>(?<![`\w])`[^`\n]+`(?!`)) | (?P<fence>^```)
+  | (?P<reference>\[[^\[\]\n]*\]\([^)\s]+(?:\s+"[^"\n]*")?\) | \[\^[\w-]+\] | ^\[[^\]\n]+\]:[ ])
+  | (?P<star>(?<![\w*(])\*{{1,3}}(?=[^\s*)(,.;])[^*\n]+?(?<=[^\s*(])\*{{1,3}}(?![\w*)]))
+  | (?P<underscore>(?<![\w_])(?!{_SPECIAL})_{{1,3}}(?=[^\W_])[^\n_]+?(?<=[^\s_])_{{1,3}}(?![\w_]))
+  | (?P<line>^[ ]{{0,3}}(?:={{1,6}}[^=\n]+={{1,6}}[ ]*$|={{3,}}[ ]*$|-{{3,}}[ ]*$|\*{{3,}}[ ]*$|>+[ ]?\S|\*+[ ]\S|\+[ ]\S|[-*+][ ]\[[ xX]\][ ]|;[ ]?\S[^\n]*:|:+[ ]?''))
+  | (?P<table>^\|.*\|[ ]*$ | ^\{{\||^\|[-}}] | ^\|[ ]\S+[ ]=) | (?P<redirect>^\#REDIRECT)
+  | (?P<latex>(?<![\w:\\])(?:\\(?:[a-zA-Z]+\*?[\{{\[]|(?:begin|end|item|em|bf|it|par|noindent|maketitle|LaTeX|TeX)\b|[()\[\]%$&\#_{{}}\\])) | (?<=\}})\\[a-zA-Z]+\*?\{{ | (?<=\d)\\[%$&] | \{{\\[a-z]+\b)
     """,
     re.X | re.M | re.I,
 )
 _NAMED = re.compile(r"&([A-Za-z][A-Za-z0-9]{1,31};)")
+_QUOTES, _UNQUOTES = re.compile(r"(?<![\w'])''+(?=[^\s'])"), re.compile(r"(?<=[^\s'])''+")
 _TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(?:\s[^<>]*?)?(/?)>")
 _ATTRIBUTED = re.compile(r"""<([A-Za-z][\w:-]*)(?:\s+[\w:-]+\s*=\s*(?:"[^"<>]*"|'[^'<>]*'))+\s*/?>""")
 _KNOWN = frozenset(ELEMENTS)
 #: Without any of these there is no markup; a quick look before the slow one.
 _SIGNS = re.compile(r"[<`\\~>\[{*_|=+]|&[#A-Za-z]|''|^ {0,3}-{3}|^ {0,3};|^ {0,3}:+ ?'|^#R", re.M)
+#: What closes a token that opens something over more than its own form.
+_CLOSERS = {"link": "]]", "template": "}}", "comment": "-->"}
+
+
+def quoted(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """Begin and end of both marks of each '' ... '' within a line; a line is left once it holds no more closing ones."""
+    if "''" not in text:
+        return
+    at = 0
+    while opened := _QUOTES.search(text, at):
+        line = text.find("\n", opened.end())
+        closed = _UNQUOTES.search(text, opened.end() + 1, line if line >= 0 else len(text))
+        if closed:
+            yield *opened.span(), *closed.span()
+            at = closed.end()
+        elif line < 0:
+            return
+        else:
+            at = line
 
 
 def certain(text: str) -> bool:
-    """Whether a text holds a form that is markup by itself."""
+    """Whether a text holds a token of a known form."""
     if not _SIGNS.search(text):
         return False
     if "$" in text:
         text = FORMULA.sub(" ", text)
-    return CERTAIN.search(text) is not None or any(n in html.entities.html5 for n in _NAMED.findall(text)) or bool(sure_names(text))
+    return FORMS.search(text) is not None or next(quoted(text), None) is not None or any(n in html.entities.html5 for n in _NAMED.findall(text)) or bool(sure_names(text))
 
 
-def unknown_tags(text: str) -> list[tuple[str, int, bool]]:
-    """Names of tags that are no known elements, how often they open, and whether their tags nest."""
+def unknown_tags(text: str) -> list[tuple[str, int, int, bool]]:
+    """Names of tags that are no known elements, how often they open and close, and whether their tags nest."""
     if "<" not in text:
         return []
     depth: dict[str, int] = {}
     opened: dict[str, int] = {}
+    closed: dict[str, int] = {}
     nested: dict[str, bool] = {}
     for close, name, alone in _TAG.findall(FORMULA.sub(" ", text)):
         name = name.lower()
@@ -85,8 +109,9 @@ def unknown_tags(text: str) -> list[tuple[str, int, bool]]:
         step = 0 if alone else (-1 if close else 1)
         depth[name] = depth.get(name, 0) + step
         opened[name] = opened.get(name, 0) + (not close)
+        closed[name] = closed.get(name, 0) + bool(close or alone)
         nested[name] = nested.get(name, True) and depth[name] >= 0
-    return [(n, opened[n], nested[n] and not depth[n]) for n in opened]
+    return [(n, opened[n], closed[n], nested[n] and not depth[n]) for n in opened]
 
 
 def sure_names(text: str) -> set[str]:
@@ -94,31 +119,79 @@ def sure_names(text: str) -> set[str]:
     if "<" not in text:
         return set()
     names = {n.lower() for n in _ATTRIBUTED.findall(FORMULA.sub(" ", text))} - _KNOWN
-    return names | {n for n, opens, nests in unknown_tags(text) if opens and nests and ("-" in n or ":" in n)}
+    return names | {n for n, opens, _, nests in unknown_tags(text) if opens and nests and ("-" in n or ":" in n)}
+
+
+def record_tokens(text: str) -> list[tuple[str, bool, int, int, bool]]:
+    """For each type of token in a text: its name, whether it is a known form, how often it opens and closes, and whether
+    its tokens nest. Tokens that stand alone, or whose form holds both their ends, open and close at once."""
+    if not _SIGNS.search(text):
+        return []
+    bare = FORMULA.sub(" ", text) if "$" in text else text
+    counts: dict[str, list[int]] = {}
+    tags: list[tuple[str, bool]] = []
+    for m in FORMS.finditer(bare):
+        kind = m.lastgroup
+        if kind == "tag":
+            tag = m.group()
+            name = re.match(r"</?([A-Za-z0-9]+)", tag)[1].lower()
+            kind = "<" + name
+            held = counts.setdefault(kind, [0, 0])
+            if name in UNENDED or tag.rstrip(">").endswith("/"):
+                held[0] += 1
+                held[1] += 1
+            else:
+                held[tag[1] == "/"] += 1
+                tags.append((kind, tag[1] == "/"))
+        else:
+            held = counts.setdefault(kind, [0, 0])
+            held[0] += 1
+            held[1] += kind not in _CLOSERS and kind != "fence"
+    for kind, closer in _CLOSERS.items():
+        if kind in counts:
+            counts[kind][1] = bare.count(closer)
+    if "fence" in counts:
+        n = counts["fence"][0]
+        counts["fence"] = [n - n // 2, n // 2]
+    pairs = sum(1 for _ in quoted(bare))
+    names = sum(n in html.entities.html5 for n in _NAMED.findall(bare))
+    counts.update({k: [n, n] for k, n in (("quotes", pairs), ("point", names + counts.get("point", [0])[0])) if n})
+    crossed: set[str] = set()
+    stack: list[str] = []
+    for kind, close in tags:
+        if not close:
+            stack.append(kind)
+        elif stack and stack[-1] == kind:
+            stack.pop()
+        elif kind in stack:
+            at = len(stack) - 1 - stack[::-1].index(kind)
+            crossed.update(stack[at + 1 :])
+            del stack[at:]
+        else:
+            crossed.add(kind)
+    out = [(k, True, a, b, a == b and k not in crossed) for k, (a, b) in counts.items()]
+    sure = sure_names(text)
+    return out + [("<" + n, n in sure, a, b, x) for n, a, b, x in unknown_tags(text)]
 
 
-_TOKENS = "array<struct<name:string,opens:int,nests:boolean>>"
+_TOKENS = "array<struct<name:string,known:boolean,opens:int,closes:int,nests:boolean>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("name", pa.string()), ("opens", pa.int32()), ("nests", pa.bool_())]))
+    kind = pa.list_(pa.struct([("name", pa.string()), ("known", pa.bool_()), ("opens", pa.int32()), ("closes", pa.int32()), ("nests", pa.bool_())]))
+    names = ("name", "known", "opens", "closes", "nests")
     for batch in batches:
         rows, places, values = flat_sections(batch.column("texts"))
-        sure, doubts, at = [], [], []
+        tokens, at = [], []
         for i, text in enumerate(values.to_pylist()):
-            if not text:
-                continue
-            yes = certain(text)
-            tags = unknown_tags(text)
-            if yes or tags:
+            if text and (found := record_tokens(text)):
                 at.append(i)
-                sure.append(yes)
-                doubts.append([{"name": n, "opens": k, "nests": x} for n, k, x in tags])
+                tokens.append([dict(zip(names, x)) for x in found])
         take = np.asarray(at, dtype=np.int64)
         ids, hosts = np.asarray(batch.column("rec_id"), dtype=np.int64), batch.column("host")
         yield pa.record_batch(
-            [pa.array(ids[rows[take]]), pa.array(places[take].astype(np.int32)), hosts.take(pa.array(rows[take])), pa.array(sure, pa.bool_()), pa.array(doubts, kind)],
-            names=["rec_id", "sec_idx", "host", "sure", "doubts"],
+            [pa.array(ids[rows[take]]), pa.array(places[take].astype(np.int32)), hosts.take(pa.array(rows[take])), pa.array(tokens, kind)],
+            names=["rec_id", "sec_idx", "host", "tokens"],
         )
 
 
@@ -126,39 +199,43 @@ def host_of(url: str):
     return F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
 
 
-#: Pages of a host on which the tokens of a class must occur.
+#: Records of a host on which the tokens of a class must occur.
 LEAST_PAGES = 3
-
-
-#: Share of a host's records with a name beyond which its tags must nest; cut-off records do not void the others.
+#: Records, agreeing and nesting, that a known form is worth before any record of its host is seen. An unknown tag has none.
+KNOWN_RECORDS = 3
+#: Share of a host's records with a class beyond which its vectors must agree and its tokens nest; cut-off records do not
+#: void the others.
 NEST_SHARE = 0.5
 
 
 def _found(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What `_scan` found, and rec_id, sec_idx, sure, name of each unknown tag that belongs to a class of its host."""
-    scanned = records.where(F.col("rec_id").isNotNull()).select("rec_id", host_of("url").alias("host"), "texts").mapInArrow(_scan, f"rec_id long, sec_idx int, host string, sure boolean, doubts {_TOKENS}")
+    """rec_id, sec_idx, host, tokens of each text with tokens; and rec_id, sec_idx, name, known of those of a valid class.
+
+    Two tokens of a type, the opening and the closing one, are compared by their occurrence vectors over the host's
+    records: what both have in common (the sum of the smaller counts) against what either has (the sum of the larger).
+    """
+    scanned = records.where(F.col("rec_id").isNotNull()).select("rec_id", host_of("url").alias("host"), "texts").mapInArrow(_scan, f"rec_id long, sec_idx int, host string, tokens {_TOKENS}")
     found = materialize(scanned.dropDuplicates(["rec_id", "sec_idx"]), "markup")
-    doubts = found.select("rec_id", "sec_idx", "host", "sure", F.explode("doubts").alias("d")).select("rec_id", "sec_idx", "host", "sure", "d.*")
-    # opening and closing tokens of a name have one occurrence vector exactly where the name nests
-    classes = doubts.groupBy("host", "name").agg(F.count("*").alias("n"), F.avg(F.col("nests").cast("int")).alias("nest_share"))
-    valid = classes.where((F.col("n") >= LEAST_PAGES) & (F.col("nest_share") > NEST_SHARE)).select("host", "name")
-    return found, salted_join(doubts, valid, ["host", "name"]).select("rec_id", "sec_idx", "sure", "name")
+    tokens = found.select("rec_id", "sec_idx", "host", F.inline("tokens"))
+    start = F.when(F.max("known"), KNOWN_RECORDS).otherwise(0)
+    both, either = F.sum(F.least("opens", "closes")) + start, F.sum(F.greatest("opens", "closes")) + start
+    classes = tokens.groupBy("host", "name").agg((F.count("*") + start).alias("n"), (both / either).alias("agree"), ((F.sum(F.col("nests").cast("int")) + start) / (F.count("*") + start)).alias("nest"))
+    valid = classes.where((F.col("n") >= LEAST_PAGES) & (F.col("agree") > NEST_SHARE) & (F.col("nest") > NEST_SHARE)).select("host", "name")
+    return found, salted_join(tokens.select("rec_id", "sec_idx", "host", "name", "known"), valid, ["host", "name"]).select("rec_id", "sec_idx", "name", "known")
 
 
 def records_with_markup(records: DataFrame) -> DataFrame:
-    """rec_id, sec_idx of each text with markup. `records` has rec_id, url and texts (array of strings).
+    """rec_id, sec_idx of each text with tokens of a valid class. `records` has rec_id, url and texts (array of strings).
 
     A record given in several rows counts once. Null ids, lists and texts have no markup; null urls share the host ''.
     Only what was found is shuffled, never the texts.
     """
-    found, dealt = _found(records)
-    return found.where("sure").select("rec_id", "sec_idx").unionByName(dealt.where("not sure").select("rec_id", "sec_idx").distinct())
+    return _found(records)[1].select("rec_id", "sec_idx").distinct()
 
 
 # ---- clean text ----
 
 _BLOCKS = {"p", "div", "section", "article", "blockquote", "table", "tr", "ul", "ol", "dl", "dt", "dd", "br", "hr", "figure", "body", "header", "footer", "nav", "aside", "main", "center"}
-_ATTR_TEXT = re.compile(r"[^<>]*")
 _ANY_TAG = re.compile(rf"</?({_NAMES})(?:\s[^<>]*|\s*/)?(?:>|\Z)", re.I)
 
 
@@ -175,103 +252,196 @@ def _tag_text(m: re.Match) -> str:
 
 
 def _code(body: str) -> str:
-    return "\n" + "\n".join("    " + x for x in body.strip("\n").split("\n")) + "\n"
+    return "\n".join("    " + x for x in body.strip("\n").split("\n"))
 
 
-# each form of markup and what stands in its place; in the order in which they are to be read
+def _between(text: str, begin: re.Pattern, end: re.Pattern, to: Callable[[str], str]) -> str:
+    """`text` with `to` of what is inside in place of each `begin ... end`. Once no end follows, no more is sought."""
+    out, at = [], 0
+    while (opened := begin.search(text, at)) and (closed := end.search(text, opened.end())):
+        out += (text[at : opened.start()], to(text[opened.end() : closed.start()]))
+        at = closed.end()
+    return "".join(out) + text[at:]
+
+
+def _templates(text: str) -> str:
+    """`text` without balanced {{ ... }}, however deep; of {{lang|code|text}} the text stays. What is not closed stays but for its braces."""
+    if "{{" not in text:
+        return text
+    levels: list[list[str]] = [[]]
+    at = 0
+    for m in re.finditer(r"\{\{|\}\}\n?", text):
+        levels[-1].append(text[at : m.start()])
+        at = m.end()
+        if m.group() == "{{":
+            levels.append([])
+        elif len(levels) > 1:
+            inside = "".join(levels.pop()).split("|", 2)
+            if len(inside) == 3 and inside[0].strip().lower() == "lang":
+                levels[-1].append(inside[2] + m.group()[2:])
+        else:
+            levels[-1].append(m.group())
+    levels[-1].append(text[at:])
+    return "".join(x for level in levels for x in level)
+
+
+def _table(m: re.Match) -> str:
+    rows = (row for row in m[0].split("\n")[1:] if row[:1] in "|!" and row[:2] not in ("|-", "|}", "|+"))
+    return "\n".join(" ".join(c.strip() for c in re.split(r"\|\||!!", row.lstrip("|! "))) for row in rows)
+
+
+def _unquoted(text: str) -> str:
+    marks = [span for a, b, c, d in quoted(text) for span in ((a, b), (c, d))]
+    ends = [0, *(b for _, b in marks)], [*(a for a, _ in marks), len(text)]
+    return "".join(text[a:b] for a, b in zip(*ends, strict=True)) if marks else text
+
+
+_R = re.compile
+# code, whose inside stays as it is: (begin, end, whether it is a block)
+_CODES = [
+    (_R(r"<(?:pre|syntaxhighlight)\b[^<>]*>(?:\s*<code[^<>]*>)?", re.I), _R(r"(?:</code>\s*)?</(?:pre|syntaxhighlight)\s*>", re.I), True),
+    (_R(r"^```[^\n]*\n", re.M), _R(r"^```[ ]*$", re.M), True),
+    (_R(r"\\begin\{(?:verbatim|lstlisting)\}"), _R(r"\\end\{(?:verbatim|lstlisting)\}"), True),
+    (_R(r"<(?:code|kbd|samp|tt|nowiki)\b[^<>]*>", re.I), _R(r"</(?:code|kbd|samp|tt|nowiki)\s*>", re.I), False),
+    (_R(r"(?<![`\w])`(?=[^`\n]+`(?!`))"), _R(r"`"), False),
+]
+#: Lines of code that are told by four blanks and a sign of code; not those of lists and quotations.
+_INDENTED = _R(r"^(?: {4,}|\t)(?![ \t]|[•*+>-] |\d+[.)] )[^\n]*(?:[=;{}]|\w\([^\n]*\)|:[ ]*$)[^\n]*$", re.M)
+# formulas of LaTeX and HTML: (begin, end, sign)
+_FORMULAS = [
+    (_R(r"\\begin\{(?:equation|align|displaymath|gather)\*?\}\s*"), _R(r"\s*\\end\{(?:equation|align|displaymath|gather)\*?\}"), "$$"),
+    (_R(r"(?<!\\)\\\[\s*"), _R(r"\s*\\\]"), "$$"), (_R(r"(?<!\\)\\\(\s*"), _R(r"\s*\\\)"), "$"), (_R(r"<math\b[^<>]*>\s*", re.I), _R(r"\s*</math>", re.I), "$"),
+]
+# each form of markup and what stands in its place, in the order in which they are read; a pattern, or a function of the text
 _REWRITES: list[tuple[re.Pattern, object]] = [
-    (re.compile(r"<!--.*?(?:-->|\Z)", re.S), ""),
-    (re.compile(r"<(script|style)\b.*?(?:</\1\s*>|\Z)", re.S | re.I), ""),
-    (re.compile(r"<ref\b[^<>]*?/>|<ref\b.*?</ref\s*>", re.S | re.I), ""),
-    (re.compile(r"<(?:pre|syntaxhighlight)\b[^<>]*>(?:\s*<code[^<>]*>)?(.*?)(?:</code>\s*)?</(?:pre|syntaxhighlight)\s*>", re.S | re.I), lambda m: _code(m[1])),
-    (re.compile(r"^```[^\n]*\n(.*?)^```[ ]*$", re.S | re.M), lambda m: _code(m[1])),
-    (re.compile(r"\\begin\{(?:verbatim|lstlisting)\}(.*?)\\end\{(?:verbatim|lstlisting)\}", re.S), lambda m: _code(m[1])),
-    (re.compile(r"\\begin\{(?:equation|align|displaymath|gather)\*?\}\s*(.*?)\s*\\end\{(?:equation|align|displaymath|gather)\*?\}", re.S), lambda m: f"$${m[1]}$$"),
-    (re.compile(r"\\\[\s*(.*?)\s*\\\]", re.S), lambda m: f"$${m[1]}$$"),
-    (re.compile(r"\\\(\s*(.*?)\s*\\\)", re.S), lambda m: f"${m[1]}$"),
-    (re.compile(r"<math\b[^<>]*>(.*?)</math>", re.S | re.I), lambda m: f"${m[1].strip()}$"),
-    (re.compile(r"<(https?:[^\s<>]+)>"), r"\1"),
+    (_R(r"<(https?:[^\s<>]+)>"), r"\1"),
+    (_R(r"<!DOCTYPE[^<>]*>?", re.I), ""),
     (_ANY_TAG, _tag_text),
-    (re.compile(r"\{\|.*?(?:^\|\}|\Z)", re.S | re.M), lambda m: "\n".join(" ".join(c.strip() for c in re.split(r"\|\||!!", row.lstrip("|! "))) for row in m[0].split("\n")[1:] if row[:1] in "|!" and row[:2] not in ("|-", "|}", "|+"))),
-    (re.compile(r"\[\[(?:Category|File|Image):[^\]]*\]\]\n?", re.I), ""),
-    (re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]"), r"\1"),
-    (re.compile(r"\{\{lang\|[^{}|]*\|([^{}]*)\}\}"), r"\1"),
-    (re.compile(r"\{\{[^{}]*\}\}\n?"), ""),
-    (re.compile(r"\[(?:https?:)?//[^\s\]]+\s*([^\]\n]*)\]"), r"\1"),
-    (re.compile(r"!\[([^\]\n]*)\]\([^)\n]*\)"), r"\1"),
-    (re.compile(r"\[([^\]\n]*)\]\([^)\s]+(?:\s+\"[^\"\n]*\")?\)"), r"\1"),
-    (re.compile(r"\[\^[\w-]+\](?::[^\n]*)?"), ""),
-    (re.compile(r"^\[[^\]\n]+\]: [^\n]*\n?", re.M), ""),
-    (re.compile(r"^[ ]{0,3}(={1,6})[ ]*([^=\n]+?)[ ]*\1[ ]*$", re.M), lambda m: "#" * len(m[1]) + " " + m[2]),
-    (re.compile(r"^([^\n]+)\n={3,}[ ]*$", re.M), r"# \1"),
-    (re.compile(r"^([^\n]+)\n-{3,}[ ]*$", re.M), r"## \1"),
-    (re.compile(r"^[ ]{0,3}(?:-{3,}|\*{3,}|={3,})[ ]*\n?", re.M), ""),
-    (re.compile(r"^\|?[ ]*:?-{3,}:?[ ]*(?:\|[ ]*:?-{3,}:?[ ]*)*\|?[ ]*\n?", re.M), ""),
-    (re.compile(r"^\|(.*)\|[ ]*$", re.M), lambda m: " ".join(x.strip() for x in m[1].split("|"))),
-    (re.compile(r"\\(?:chapter|section)\*?\{([^{}]*)\}"), r"## \1"),
-    (re.compile(r"\\(?:sub)+section\*?\{([^{}]*)\}"), r"### \1"),
-    (re.compile(r"\\(?:begin|end)\{[^{}]*\}\n?"), ""),
-    (re.compile(r"^[ ]*\\item\b[ ]*", re.M), "• "),
-    (re.compile(r"~?\\(?:cite|ref|label|footnote|pageref)\*?(?:\[[^\]]*\])?\{[^{}]*\}"), ""),
-    (re.compile(r"(?<![\w:\\])\\[a-zA-Z]+\*?\{([^{}$]*)\}"), r"\1"),
-    (re.compile(r"\{\\[a-z]+\s+([^{}]*)\}"), r"\1"),
-    (re.compile(r"(?<![\w:\\])\\([%$&#_{}])"), r"\1"),
-    (re.compile(r"``([^`'\n]+)''"), r'"\1"'),
-    (re.compile(r"(?<![\w'])''+(?=[^\s'])([^\n]*?[^\s'])''+"), r"\1"),
-    (re.compile(r"(?<![`\w])`([^`\n]+)`(?!`)"), r"\1"),
-    (re.compile(r"~~~~?"), lambda m: "" if len(m[0]) > 2 else m[0]),
-    (re.compile(r"~~([^~\n]+)~~"), r"\1"),
-    (re.compile(r"^[ ]{0,3}[-*+] \[[ xX]\] ", re.M), "• "),
-    (re.compile(r"^[ ]{0,3}[*+]+ (?=\S)", re.M), "• "),
-    (re.compile(r"^>+ ?", re.M), "    "),
-    (re.compile(r"(?<![\w*(])(\*{1,3})(?=[^\s*)(,.;])([^*\n]+?)(?<=[^\s*(])\1(?![\w*)])"), r"\2"),
-    (re.compile(r"__[A-Z]+__\n?"), ""),
-    (re.compile(r"(?<![\w_])(_{1,3})(?=[^\W_])([^\n_]+?)(?<=[^\s_])\1(?![\w_])"), r"\2"),
+    (_R(r"^[ ]*\{\|.*?(?:^\|\}|\Z)", re.S | re.M), _table),
+    (_R(r"\[\[(?:Category|File|Image):[^\[\]]*\]\]\n?", re.I), ""),
+    (_R(r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]"), r"\1"),
+    (_templates, None),
+    (_R(r"\[(?:https?:)?//[^\s\[\]]+\s*([^\[\]\n]*)\]"), r"\1"),
+    (_R(r"!\[([^\[\]\n]*)\]\([^)\n]*\)"), r"\1"),
+    (_R(r"\[([^\[\]\n]*)\]\([^)\s]+(?:\s+\"[^\"\n]*\")?\)"), r"\1"),
+    (_R(r"\[\^[\w-]+\](?::[^\n]*)?"), ""),
+    (_R(r"^\[[^\]\n]+\]: [^\n]*\n?", re.M), ""),
+    (_R(r"^#REDIRECT\b[ ]*", re.M | re.I), ""),
+    (_R(r"^[ ]{0,3}(={1,6})[ ]*([^=\n]+?)[ ]*\1[ ]*$", re.M), lambda m: "#" * len(m[1]) + " " + m[2]),
+    (_R(r"^([^\n]+)\n={3,}[ ]*$", re.M), r"# \1"),
+    (_R(r"^([^\n]+)\n-{3,}[ ]*$", re.M), r"## \1"),
+    (_R(r"^[ ]{0,3}(?:-{3,}|\*{3,}|={3,})[ ]*\n?", re.M), ""),
+    (_R(r"^\|?[ ]*:?-{3,}:?[ ]*(?:\|[ ]*:?-{3,}:?[ ]*)*\|?[ ]*\n?", re.M), ""),
+    (_R(r"^\|(.*)\|[ ]*$", re.M), lambda m: " ".join(x.strip() for x in m[1].split("|"))),
+    (_R(r"\\(?:chapter|section)\*?\{([^{}]*)\}"), r"## \1"),
+    (_R(r"\\(?:sub)+section\*?\{([^{}]*)\}"), r"### \1"),
+    (_R(r"\\(?:begin|end)\{[^{}]*\}\n?"), ""),
+    (_R(r"^[ ]*\\item\b[ ]*", re.M), "• "),
+    (_R(r"~?\\(?:cite|ref|label|footnote|pageref)\*?(?:\[[^\[\]\n]*\])?\{[^{}]*\}"), ""),
+    (_R(r"(?<![\w:\\])\\[a-zA-Z]+\*?\{([^{}$]*)\}"), r"\1"),
+    (_R(r"\{\\[a-z]+\s+([^{}]*)\}"), r"\1"),
+    (_R(r"(?:(?<![\w:\\])|(?<=\d))\\([%$&#_{}])"), r"\1"),
+    (_R(r"``([^`'\n]+)''"), r'"\1"'),
+    (_unquoted, None),
+    (_R(r"~~~~?"), lambda m: "" if len(m[0]) > 2 else m[0]),
+    (_R(r"~~([^~\n]+)~~"), r"\1"),
+    (_R(r"^[ ]{0,3}[-*+] \[[ xX]\] ", re.M), "• "),
+    (_R(r"^[ ]{0,3}[*+]+ (?=\S)", re.M), "• "),
+    (_R(r"^[ ]{0,3}>+ ?", re.M), "    "),
+    (_R(r"(?<![\w*(])(\*{1,3})(?=[^\s*)(,.;])([^*\n]+?)(?<=[^\s*(])\1(?![\w*)])"), r"\2"),
+    (_R(r"__[A-Z]+__\n?"), ""),
+    (_R(rf"(?<![\w_])(?!{_SPECIAL})(_{{1,3}})(?=[^\W_])([^\n_]+?)(?<=[^\s_])\1(?![\w_])"), r"\2"),
 ]
-_PLACE = "\ue000{}\ue001"
+_COMMENT = _R(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_REF_ALONE, _REF, _REF_END = _R(r"<ref\b[^<>]*/>", re.I), _R(r"<ref\b[^<>]*>", re.I), _R(r"</ref\s*>", re.I)
+_OWN, _KEPT = _R("[\ue000\ue001]"), _R("\ue000(\\d+)\ue001")
+
+
+def _rest(m: re.Match) -> str:
+    """What stays of a token that is left alone when all forms have been rewritten: damaged, or made by what was removed."""
+    kind, t = m.lastgroup, m.group()
+    match kind:
+        case "tag" | "comment" | "doctype" | "tilde" | "fence" | "redirect":
+            return ""
+        case "point":
+            return html.unescape(t) if html.unescape(t) != t else ""
+        case "reference":
+            return t[1 : t.index("]")] if t[1] != "^" and t.endswith(")") else ""
+        case "latex":
+            return t[-1] if not t[-1].isalnum() and t[-1] not in "{[*()]\\" else ""
+        case "table":
+            return " ".join(x.strip("{}- ") for x in t.split("|")).strip()
+        case "line":
+            return t.lstrip(" =->+*;:")[:1] if t.rstrip()[-1:] not in "=-*" else t.strip(" =-*")
+    return t.strip("<>[]{}`'*_")
 
 
 def clean_text(text: str | None, names: frozenset[str] = frozenset()) -> str | None:
     """A text without its markup, in the format of the parsed pages: # headings, • items, code indented by four spaces,
-    formulas in dollars. Null stays null; a text without markup is returned as it is. `names` are unknown tags of its host."""
+    formulas in dollars; code and formulas stay as they are. Null stays null; a text without markup is returned as it is.
+    `names` are unknown tags of its host. No known form of markup is left outside of code and formulas."""
     if not text:
         return text
-    names = sure_names(text) | names.intersection(n for n, _, _ in unknown_tags(text)) if "<" in text else frozenset()
+    names = sure_names(text) | names.intersection(n for n, *_ in unknown_tags(text)) if "<" in text else frozenset()
     if not names and not certain(text):
         return text
     kept: list[str] = []
 
-    def keep(m: re.Match) -> str:
-        kept.append(m.group())
-        return _PLACE.format(len(kept) - 1)
-
-    text = FORMULA.sub(keep, text)
+    def keep(piece: str) -> str:
+        kept.append(piece)
+        return f"\ue000{len(kept) - 1}\ue001"
+
+    def whole(m: re.Match) -> str:
+        return keep(m.group())
+
+    text = FORMULA.sub(whole, _OWN.sub(whole, text))
+    text = _between(_REF_ALONE.sub("", _COMMENT.sub("", text)), _REF, _REF_END, lambda _: "")
+    text = _INDENTED.sub(whole, text)
+    for begin, end, block in _CODES:
+        text = _between(text, begin, end, lambda body, block=block: f"\n{keep(_code(html.unescape(body)))}\n" if block else keep(html.unescape(body)))
+    for begin, end, sign in _FORMULAS:
+        text = _between(text, begin, end, lambda body, sign=sign: keep(sign + html.unescape(body.strip()) + sign))
+    text = html.unescape(re.sub(r"&(?:amp;)+", "&", text))
     if names:
         text = _TAG.sub(lambda m: "" if m[2].lower() in names else m[0], text)
-    for k, (form, to) in enumerate(_REWRITES):
-        text = form.sub(to, text)
-        if k == 9:  # formulas of LaTeX and HTML are formulas now
-            text = FORMULA.sub(keep, text)
-    text = html.unescape(text)
-    for k in range(len(kept) - 1, -1, -1):
-        text = text.replace(_PLACE.format(k), kept[k])
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", text)).strip("\n")
+    for form, to in _REWRITES:
+        text = form(text) if to is None else form.sub(to, text)
+    while certain(text):
+        before = text
+        text = re.sub(r"\[{2,}(?=[^\[\]])|\{{2,}(?=[^{}\s])", "", _NAMED.sub(lambda m: html.unescape(m.group()), _unquoted(FORMS.sub(_rest, text))))
+        if len(text) >= len(before):
+            break
+    while _KEPT.search(text):  # what was kept can lie within what was kept later
+        text = _KEPT.sub(lambda m: kept[int(m[1])], text)
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r"(?<![ \t])[ \t]+\n", "\n", text)).strip("\n")
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        every = batch.column("names").to_pylist() if "names" in batch.schema.names else [None] * len(batch)
-        cleaned = [None if x is None else [clean_text(t, frozenset(n or ())) for t in x] for x, n in zip(batch.column("texts").to_pylist(), every, strict=True)]
+        given = "names" in batch.schema.names
+        every = batch.column("names").to_pylist() if given else [None] * len(batch)
+        left = batch.column("plain").to_pylist() if given else [None] * len(batch)
+        cleaned = [
+            None if x is None else [t if p and k in p else clean_text(t, frozenset(n or ())) for k, t in enumerate(x)]
+            for x, n, p in zip(batch.column("texts").to_pylist(), every, left, strict=True)
+        ]
         yield pa.record_batch([batch.column("rec_id"), pa.array(cleaned, pa.list_(pa.string()))], names=["rec_id", "texts"])
 
 
 def cleaned(records: DataFrame) -> DataFrame:
     """rec_id and its texts without markup; one row for each row given. `records` has rec_id, url and texts.
 
-    Only the texts of records with tags of their host's classes are shuffled, to meet the names of these.
+    What is removed are the tokens of valid classes, as `records_with_markup` finds them. Only the texts of records in which
+    the classes of the host say more than the form are shuffled: those with unknown tags of a valid class, and those whose
+    tokens of known form all belong to classes that are not valid, which stay as they are.
     """
     shape = "rec_id long, texts array<string>"
-    named = materialize(_found(records)[1].groupBy("rec_id").agg(F.collect_set("name").alias("names")), "markup-names")
+    found, valid = _found(records)
+    valid = materialize(valid, "markup-valid")
+    unknown = valid.where("not known").groupBy("rec_id").agg(F.collect_set(F.substring("name", 2, 1 << 20)).alias("names"))
+    plain = found.where(F.exists("tokens", lambda t: t.known)).select("rec_id", "sec_idx").join(valid.select("rec_id", "sec_idx").distinct(), ["rec_id", "sec_idx"], "left_anti")
+    plain = plain.groupBy("rec_id").agg(F.collect_set("sec_idx").alias("plain"))
+    named = materialize(unknown.join(plain, "rec_id", "full"), "markup-names")
     maybe = key_filter(named.select("rec_id"), "rec_id")
 
     def split(wanted: bool):
@@ -297,8 +467,6 @@ _PIECES = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^
 INLINE = frozenset("a abbr b bdi cite code em font i kbd mark math annotation q ref s samp small strike strong sub sup tt u var".split())
 
 
-# Elements without an end tag.
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -467,7 +635,7 @@ def templates(pages: DataFrame) -> DataFrame:
     sizes = frequent.groupBy("host", "class").agg(F.count("*").alias("size")).where(F.col("size") >= CLASS_SIZE)
     kept = materialize(frequent.join(sizes, ["host", "class"]), "page-classes")
     asked = kept.groupBy("host").agg(F.collect_list(F.struct("token", "class", "n_pages", "size")).alias("classes"))
-    judged = salted_join(pages, asked, ["host"]).select("host", "text", "classes").mapInArrow(_judge, "host string, class string, ordered string, valid boolean")
+    judged = salted_join(pages, asked, ["host"], counted=bodies).select("host", "text", "classes").mapInArrow(_judge, "host string, class string, ordered string, valid boolean")
     valid = judged.groupBy("host", "class").agg(F.every("valid").alias("valid"), (F.min("ordered") == F.max("ordered")).alias("one_order")).where("valid and one_order")
     return kept.join(valid.select("host", "class"), ["host", "class"]).select("host", "token", "class")
 
